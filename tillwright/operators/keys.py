@@ -39,11 +39,8 @@ def surrogate_key(df: DataFrame, order_cols, name: str, start: int = 1) -> DataF
 def extend_keys(existing: DataFrame, fresh: DataFrame, order_cols, name: str) -> DataFrame:
     """Key ``fresh`` rows after the highest key of ``existing``; keys in use
     never change. Returns the fresh rows only."""
-    top = existing.agg(F.coalesce(F.max(name), F.lit(0)).alias("_top"))
-    numbered = surrogate_key(fresh, order_cols, name)
-    return numbered.crossJoin(F.broadcast(top)).select(
-        (F.col(name) + F.col("_top")).alias(name), *fresh.columns
-    )
+    top = existing.agg(F.max(name)).first()[0] or 0
+    return surrogate_key(fresh, order_cols, name, start=top + 1)
 
 
 def store_version_key(store_id: Column, version: Column) -> Column:

@@ -12,11 +12,13 @@ from tillwright.operators.merge import upsert
 from tillwright.plans import gold, marts, quality, silver
 from tillwright.schemas import TABLE_KEYS
 from tillwright.sources.tables import (
+    drop_staged,
     exists,
     merge_table,
     replace_partitions,
     replace_table,
     staged,
+    staged_count,
     table_path,
 )
 
@@ -186,10 +188,14 @@ def all_checks(warehouse: Warehouse) -> DataFrame:
 def build(spark: SparkSession, root: str, as_of, validate: bool = True) -> Warehouse:
     """Run silver, platinum and gold for the loads of ``as_of``."""
     warehouse = Warehouse(spark, root)
-    build_silver(warehouse, as_of)
-    build_platinum(warehouse)
-    build_dimensions(warehouse)
-    build_fact(warehouse, as_of)
+    others = staged_count()
+    try:
+        build_silver(warehouse, as_of)
+        build_platinum(warehouse)
+        build_dimensions(warehouse)
+        build_fact(warehouse, as_of)
+    finally:
+        drop_staged(spark, keep=others)
     if validate:
         quality.require(star_schema_checks(warehouse))
     return warehouse

@@ -6,7 +6,6 @@ from operator import and_
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
-from pyspark.sql.types import DecimalType
 
 from tillwright.functions import bands
 from tillwright.functions.bands import band
@@ -28,6 +27,7 @@ from tillwright.schemas import (
     MONEY,
     PERCENT,
     TEMPERATURE,
+    UNEMPLOYMENT,
 )
 
 FACT_LOOKBACK_DAYS = 2
@@ -39,8 +39,6 @@ FACT_UPDATES = [
     "weekly_sales",
 ]
 ZERO_SPREAD = 1024
-# One digit wider than the clean layer: 99.999 rounds up to 100.00.
-ROUNDED_UNEMPLOYMENT = DecimalType(6, 3)
 
 
 # --- calendar ---------------------------------------------------------------
@@ -156,7 +154,7 @@ def _economic_tuple() -> dict:
         "temperature": rounded("temperature", 0, 1, TEMPERATURE),
         "fuel_price": rounded("fuel_price", 0, 2, FUEL),
         "cpi": rounded("cpi", 1, 3, CPI),
-        "unemployment": rounded("unemployment", 0, 2, ROUNDED_UNEMPLOYMENT),
+        "unemployment": rounded("unemployment", 0, 2, UNEMPLOYMENT),
     }
 
 
@@ -219,7 +217,7 @@ def unknown_economics(spark: SparkSession) -> DataFrame:
         "temperature": F.lit(0).cast(TEMPERATURE),
         "fuel_price": F.lit(0).cast(FUEL),
         "cpi": F.lit(1).cast(CPI),
-        "unemployment": F.lit(0).cast(ROUNDED_UNEMPLOYMENT),
+        "unemployment": F.lit(0).cast(UNEMPLOYMENT),
     }
     labels = ["temperature_band", "fuel_price_band", "cpi_category", "unemployment_category"]
     return _economic_columns(_one_row(spark, values)).withColumns(

@@ -60,8 +60,8 @@ class Tables:
 BUILDERS = {
     "raw.sales": lambda t: orderlines.raw_sales(t.spark, t.sf_dir),
     "raw.features": lambda t: orderlines.raw_features(t.spark, t.sf_dir),
-    "raw.stores1": lambda t: orderlines.raw_stores(t.spark, t.sf_dir, 1),
-    "raw.stores2": lambda t: orderlines.raw_stores(t.spark, t.sf_dir, 2),
+    "raw.stores1": lambda t: orderlines.raw_stores(t("raw.sales"), 1),
+    "raw.stores2": lambda t: orderlines.raw_stores(t("raw.sales"), 2),
     "bronze.sales": lambda t: orderlines.bronze_sales(t("raw.sales")),
     "bronze.features": lambda t: orderlines.bronze_features(t("raw.features")),
     "bronze.stores": lambda t: orderlines.bronze_stores(t("raw.stores1"), t("raw.stores2")),
@@ -146,11 +146,16 @@ def all_store_weeks(t: Tables) -> DataFrame:
 
 
 def sales_as_of_version(t: Tables) -> DataFrame:
-    """Sales by the store version valid 14 years after the sale."""
-    shifted = t("silver.sales").withColumn("valid_day", F.add_months("date", 14 * 12))
+    """Sales by the store version valid 14 years after the sale.
+
+    Sales are summed per store and week first: the lookup needs no more, and a
+    store with very many rows then brings one row per week to the join.
+    """
+    weeks = reports.store_weeks(t("silver.sales"))
+    shifted = weeks.withColumn("valid_day", F.add_months("date", 14 * 12))
     joined = as_of_dimension(shifted, t("gold.dim_store"), "store_id", "valid_day")
     return joined.groupBy("store_id", "version", "store_type", "size_category").agg(
-        F.count("*").alias("num_sales"), F.sum("weekly_sales").alias("total_sales")
+        F.sum("n").alias("num_sales"), F.sum("sales").alias("total_sales")
     )
 
 

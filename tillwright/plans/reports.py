@@ -58,6 +58,16 @@ def store_weeks(sales: DataFrame) -> DataFrame:
     )
 
 
+def between_days(df: DataFrame, first, last) -> DataFrame:
+    """Rows with ``first <= date <= last``; prunes the months of a table
+    partitioned by ``month_start``."""
+    low, high = F.lit(first).cast("date"), F.lit(last).cast("date")
+    rows = df.filter(F.col("date").between(low, high))
+    if "month_start" in df.columns:
+        rows = rows.filter(F.col("month_start").between(F.trunc(low, "month"), high))
+    return rows
+
+
 # --- sales --------------------------------------------------------------------
 
 
@@ -214,7 +224,7 @@ def unemployment_impact(sales: DataFrame, stores: DataFrame, features: DataFrame
 def week_snapshot(features: DataFrame, day) -> DataFrame:
     """Economic figures and total markdown of every store in one week."""
     return (
-        features.filter(F.col("date") == F.lit(day).cast("date"))
+        between_days(features, day, day)
         .select(
             "store_id",
             "temperature",
@@ -234,12 +244,11 @@ def sales_with_economics(sales: DataFrame, features: DataFrame, first, last) ->
     The range is put on both sides of the join, so both scans skip what lies
     outside of it.
     """
-    inside = F.col("date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
-    context = features.filter(inside).select(
+    context = between_days(features, first, last).select(
         "store_id", "date", "temperature", "fuel_price", "markdown1", "cpi", "unemployment"
     )
     return (
-        sales.filter(inside)
+        between_days(sales, first, last)
         .select("store_id", "department_id", "date", "weekly_sales")
         .join(context, ["store_id", "date"], "left")
         .select("store_id", "department_id", "date", "weekly_sales", *context.columns[2:])

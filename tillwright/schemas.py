@@ -21,7 +21,8 @@ MONEY = DecimalType(18, 2)
 TEMPERATURE = DecimalType(5, 2)
 FUEL = DecimalType(5, 3)
 CPI = DecimalType(10, 6)
-UNEMPLOYMENT = DecimalType(5, 3)
+# Three whole digits: 100 is a valid rate.
+UNEMPLOYMENT = DecimalType(6, 3)
 PERCENT = DecimalType(5, 2)
 # Sums over whole tables; narrow enough that a quotient of two keeps 14 decimals.
 TOTAL = DecimalType(24, 2)

@@ -78,8 +78,9 @@ def raw_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_stores(spark: SparkSession, sf_dir: str, snapshot: int = 1) -> DataFrame:
-    """Store master data; in snapshot 2 some stores have grown or changed type."""
+def raw_stores(sales: DataFrame, snapshot: int = 1) -> DataFrame:
+    """Master data of the stores in ``sales``; in snapshot 2 some stores have
+    grown or changed type."""
     s = F.col("store")
     kind = s % 3
     size = 30000 + 4300 * (s % 45)
@@ -87,7 +88,7 @@ def raw_stores(spark: SparkSession, sf_dir: str, snapshot: int = 1) -> DataFrame
         kind = F.when(s % 7 == 0, kind + 1).otherwise(kind) % 3
         size = size + F.when(s % 5 == 0, 10000).otherwise(0)
     letter = F.when(kind == 0, "A").when(kind == 1, "B").otherwise("C")
-    stores = lines(spark, sf_dir).select("store").distinct()
+    stores = sales.select("store").distinct()
     return stores.select("store", letter.alias("type"), size.alias("size"))
 
 

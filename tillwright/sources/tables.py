@@ -9,6 +9,9 @@ from tillwright.operators.merge import upsert
 from tillwright.sources.shared import shared_folder
 
 
+_STAGED = []
+
+
 def table_path(root: str, name: str) -> str:
     """``layer.table`` to ``root/layer/table``."""
     return f"{root.rstrip('/')}/{name.replace('.', '/')}"
@@ -29,10 +32,22 @@ def staged(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/staged/{uuid.uuid4().hex}"
+    _STAGED.append(path)
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_staged(spark: SparkSession, keep: int = 0) -> None:
+    """Delete the tables this process staged, except the first ``keep``."""
+    while len(_STAGED) > keep:
+        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+def staged_count() -> int:
+    return len(_STAGED)
+
+
 def replace_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Recompute-and-replace sink. ``df`` must not read ``path``: stage it first."""
     if partition_by is None:
