@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import exact_dedup, token_counts, token_files, word_bpe
+from tillwright.llm import exact_dedup, mixing, ngram_join, token_counts, token_files, toxicity, word_bpe
 from tillwright.llm.shared import documents, new_folder
 
 #: The end of a document in token files.
@@ -15,6 +15,14 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar(documents(spark, sf_dir))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_plan(documents(spark, sf_dir))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
@@ -26,6 +34,10 @@ def op8_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "token-files")
     token_files.write_token_files(
@@ -36,8 +48,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_token_counts": op3_token_counts,
+    "op4_ngram_join": op4_ngram_join,
+    "op5_mixing": op5_mixing,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_word_bpe": op8_word_bpe,
+    "op9_toxicity": op9_toxicity,
     "op10_token_files": op10_token_files,
 }
 
