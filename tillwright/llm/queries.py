@@ -4,13 +4,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import exact_dedup, mixing, ngram_join, token_counts, token_files, toxicity, word_bpe
+from tillwright.llm import exact_dedup, fingerprints, mixing, ngram_join, token_counts, token_files, toxicity, word_bpe
 from tillwright.llm.shared import documents, new_folder
 
 #: The end of a document in token files.
 END_ID = 2
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints_of_edits(documents(spark, sf_dir))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -47,6 +51,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_fingerprints": op1_fingerprints,
     "op3_token_counts": op3_token_counts,
     "op4_ngram_join": op4_ngram_join,
     "op5_mixing": op5_mixing,
