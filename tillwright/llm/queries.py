@@ -4,7 +4,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import exact_dedup, fingerprints, mixing, ngram_join, token_counts, token_files, toxicity, word_bpe
+from tillwright.llm import (
+    exact_dedup,
+    fingerprints,
+    mixing,
+    ngram_join,
+    suffix_dedup,
+    token_counts,
+    token_files,
+    toxicity,
+    word_bpe,
+)
 from tillwright.llm.shared import documents, new_folder
 
 #: The end of a document in token files.
@@ -27,6 +37,12 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_plan(documents(spark, sf_dir))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
@@ -55,6 +71,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op4_ngram_join": op4_ngram_join,
     "op5_mixing": op5_mixing,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_word_bpe": op8_word_bpe,
     "op9_toxicity": op9_toxicity,
