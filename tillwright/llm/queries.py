@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tillwright.llm import (
     exact_dedup,
     fingerprints,
+    licenses,
     mixing,
     ngram_join,
     suffix_dedup,
@@ -25,6 +26,14 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints_of_edits(documents(spark, sf_dir))
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files in folders by source, language and hundreds of ids."""
+    docs = documents(spark, sf_dir)
+    folder = F.floor(F.col("doc_id") / 100).cast("string")
+    files = docs.select("doc_id", "text", F.concat_ws("/", "source", "lang", folder, F.col("doc_id").cast("string")).alias("path"))
+    return licenses.license_scan(files, licenses.default_templates(spark))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -68,6 +77,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_licenses": op2_licenses,
     "op3_token_counts": op3_token_counts,
     "op4_ngram_join": op4_ngram_join,
     "op5_mixing": op5_mixing,
