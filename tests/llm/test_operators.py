@@ -1,0 +1,246 @@
+"""Operators against brute force, and on odd inputs."""
+
+import collections
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tillwright.llm import exact_dedup, fingerprints, licenses, mixing, ngram_join, suffix_dedup
+from tillwright.llm import token_counts, token_files, toxicity, word_bpe
+
+BYTE = public_tokenizers.path("byte_bpe_50k.json")
+WORD = public_tokenizers.path("word_bpe_49k.json")
+ODD = [
+    None, "", "  ", "a", "a b c", "A  b\tc", "the  \n\n cat's they're", "x<|endoftext|>y", "été déjà 中文 😀é",
+    "same words here again and again", "same words here again and again", "long " * 3000, "q" * 5000, "\x1cİΣ",
+]
+ALPHABET = ["'", "r", "e", "ve", " ", "  ", "\n", "the", "é", "中", "!", "1", "<|endoftext|>", "ing", "😀", "́", "\x1c", "İ"]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    rows = [(i, t, "s", 1, 2) for i, t in enumerate(ODD)] + [(None, "a", None, 1, 2), (3, "a", "s", 1, 2)]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string, row int, block int")
+
+
+@pytest.fixture(scope="module")
+def none(odd):
+    return odd.filter("false")
+
+
+def texts_of(df):
+    return [r.text or "" for r in df.collect()]
+
+
+def noise(n, seed=1):
+    rnd = random.Random(seed)
+    return ["".join(rnd.choice(ALPHABET) for _ in range(rnd.randint(1, 30))) for _ in range(n)]
+
+
+def test_prefix_counts_equal_encoding_each_prefix():
+    counter, library = token_counts.PrefixCounter(BYTE), Tokenizer.from_file(BYTE)
+    for text in noise(150) + [t for t in ODD if t and len(t) < 100]:
+        counts = counter.prefixes(text)
+        assert counts.tolist() == [len(library.encode(text[:i], add_special_tokens=False).ids) for i in range(len(text) + 1)]
+        for budget in (0, 1, 3, 7):
+            assert counter.totals(text, budget) == (counts[-1], np.flatnonzero(counts <= budget)[-1])
+
+
+def test_token_counts(odd, none):
+    library = Tokenizer.from_file(BYTE)
+    got = sorted((r.n_bytes, r.n_tokens, r.over_limit) for r in token_counts.count_tokens(odd, BYTE).collect())
+    sizes = [(len(t.encode()), len(library.encode(t, add_special_tokens=False).ids)) for t in texts_of(odd)]
+    assert got == sorted((b, n, n > 1024) for b, n in sizes)
+    assert token_counts.count_tokens(none, BYTE).count() == 0
+    assert [len(r.prefix_tokens) for r in token_counts.prefix_counts(odd.filter("doc_id = 4"), BYTE).collect()] == [6]
+
+
+def test_word_bpe_equals_the_library(spark, odd, none):
+    library = Tokenizer.from_file(WORD)
+    more = spark.createDataFrame(list(enumerate(noise(200))), "doc_id long, text string")
+    docs = odd.select("doc_id", "text").union(more)
+    got = sorted((bytes(r.ids), r.decoded) for r in word_bpe.encode_decode(docs, WORD, 500).collect())
+    encoded = [library.encode(t, add_special_tokens=False).ids for t in texts_of(docs)]
+    assert got == sorted((np.array(i, "<u4").tobytes(), library.decode(i, skip_special_tokens=False)) for i in encoded)
+    assert word_bpe.encode_decode(none, WORD).count() == 0
+
+
+def test_token_files_round_trip(spark, odd, none, tmp_path):
+    library, folder = Tokenizer.from_file(WORD), str(tmp_path / "files")
+    token_files.write_token_files(odd, folder, WORD, 2, file_bytes=2000)
+    rows = token_files.ids_crc32(token_files.read_token_files(spark, folder)).orderBy("start").collect()
+    assert [r.doc_id for r in rows] == sorted((r.doc_id for r in odd.collect()), key=lambda i: (i is not None, i))
+    assert rows[0].start == 0 and all(a.start + a.n_tokens == b.start for a, b in zip(rows, rows[1:]))
+    sums = [zlib.crc32(np.array(library.encode(t, add_special_tokens=False).ids + [2], "<u4").tobytes()) for t in texts_of(odd)]
+    assert sorted(r.ids_crc32 for r in rows) == sorted(sums)
+    token_files.write_token_files(none, str(tmp_path / "none"), WORD, 2)
+    assert token_files.read_token_files(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_exact_duplicates(odd, none):
+    got = collections.Counter((r.doc_id, r.keep_id, r.group_size, r.kept, r.text_sha256) for r in exact_dedup.exact_duplicates(odd, 2).collect())
+    groups, want = collections.defaultdict(list), collections.Counter()
+    for r in odd.collect():
+        groups[re.sub("[\x20\x09-\x0d]", "", r.text or "")].append((-len(r.text or ""), r.doc_id is None, r.doc_id or 0, r.doc_id))
+    for norm, members in groups.items():
+        first = min(members)
+        for m in members:
+            want[m[3], first[3], len(members), m == first, hashlib.sha256(norm.encode()).hexdigest()] += 1
+    assert got == want
+    assert exact_dedup.exact_duplicates(none).count() == 0
+    kept = exact_dedup.keep_one(odd)
+    assert kept.columns == odd.columns and kept.count() == len(groups)
+
+
+def brute_repeats(texts, length):
+    seen = collections.Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
+    for t in texts:
+        mark = np.zeros(len(t), bool)
+        for i in range(len(t) - length + 1):
+            if seen[t[i : i + length]] > 1:
+                mark[i : i + length] = True
+        runs = np.diff(np.r_[0, mark.astype(int), 0])
+        yield len(t), int(mark.sum()), int((runs == 1).sum()), bytes(np.frombuffer(t, np.uint8)[~mark])
+
+
+@pytest.mark.parametrize("most", [4096, 4, 0])
+def test_suffix_dedup(spark, none, most):
+    rnd = random.Random(3)
+    base = ["".join(rnd.choice("abcdé ") for _ in range(200)) for _ in range(4)]
+    texts = [None, "", "a" * 100, "ab" * 60]
+    for _ in range(60):
+        text = "".join(rnd.choice("abcdefgh \n") for _ in range(rnd.randint(0, 60)))
+        for _ in range(rnd.randint(0, 3)):
+            a = rnd.randint(0, 150)
+            text += rnd.choice(base)[a : a + rnd.randint(5, 100)] + "".join(rnd.choice("xyz") for _ in range(rnd.randint(0, 9)))
+        texts.append(text)
+    rows = list(enumerate(texts)) + [(7, texts[7]), (None, texts[8])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = collections.Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.without_repeats(docs, 40, 16, most).collect())
+    want = brute_repeats([(t or "").encode() for _, t in rows], 40)
+    assert got == collections.Counter((i, *w) for (i, _), w in zip(rows, want))
+    assert suffix_dedup.without_repeats(none).count() == 0
+
+
+def grams(text):
+    words = re.findall(r"\w+", text.lower()) or [text]
+    size = min(5, len(words))
+    return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
+
+
+def test_ngram_join(spark, odd, none, monkeypatch):
+    monkeypatch.setattr(ngram_join, "TILE_CLASSES", 4)  # several tiles for a set
+    rnd = random.Random(5)
+    base = [[f"w{rnd.randint(0, 400)}" for _ in range(60)] for _ in range(5)]
+    texts = []
+    for _ in range(60):
+        words = list(rnd.choice(base))
+        for _ in range(rnd.randint(0, 3)):
+            words[rnd.randrange(60)] = f"n{rnd.randint(0, 999)}"
+        texts.append(" ".join(words))
+    docs = odd.select("doc_id", "text").union(
+        spark.createDataFrame([(100 + i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    )
+    rows = [(r.doc_id, grams(r.text or "")) for r in docs.collect()]
+    linked = [[len(a & b) >= 0.8 * len(a | b) for _, b in rows] for _, a in rows]
+    label = list(range(len(rows)))
+    while True:
+        new = [min(label[j] for j in range(len(rows)) if linked[i][j]) for i in range(len(rows))]
+        if new == label:
+            break
+        label = new
+    names = {c: min((r[0] for r, x in zip(rows, label) if x == c and r[0] is not None), default=None) for c in label}
+    want = collections.Counter((r[0], names[c], sum(links) - 1) for r, c, links in zip(rows, label, linked))
+    assert collections.Counter((r.doc_id, r.class_id, r.n_links) for r in ngram_join.similar(docs).collect()) == want
+    assert ngram_join.similar(none).count() == 0
+    assert ngram_join.one_of_each(docs).count() == len(set(names.values()))
+
+
+def test_common_counts():
+    rnd = np.random.default_rng(1)
+    sets = [np.unique(rnd.integers(0, 60, rnd.integers(1, 50)).astype(np.uint64)) for _ in range(20)]
+    want = [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+    assert ngram_join.common_counts(sets).tolist() == want
+
+
+def jaccard(a, b):
+    a, b = (collections.Counter(t.lower().split()) for t in (a, b))
+    total = sum((a | b).values())
+    return sum((a & b).values()) / total if total else 1.0
+
+
+def test_fingerprints(spark, odd, none, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = fingerprints.fingerprints_of_edits(docs, block_rows=50).collect()
+    order, errors = sorted(texts, reverse=True), []
+    after = dict(zip(order, order[1:] + order[:1]))
+    for r in rows:
+        text, other = texts[r.doc_id], texts[after[r.doc_id]]
+        half = len(text) // 2
+        edited = text[: len(text) - half] + other[:half]
+        assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
+        errors.append(r.near_edited - jaccard(text, edited))
+    assert len(rows) == len(texts) and abs(np.mean(errors)) < 0.03 and np.std(errors) < 0.1
+    prints = {}
+    for r in rows:
+        assert prints.setdefault(texts[r.doc_id], r.fingerprint) == r.fingerprint
+    found = fingerprints.fingerprints_of_edits(odd, 4).collect()
+    assert len(found) == odd.count() and all(0 <= r.near_next <= 1 for r in found)
+    assert fingerprints.fingerprints_of_edits(none, 4).count() == 0
+
+
+def test_mixing(spark, odd, none):
+    rows = [(i, "word " * 40, f"s{0 if i < 600 else 1 if i < 800 else 2}") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = mixing.mixing_plan(docs, repetitions=2.0).collect()
+    total = collections.Counter()
+    for r in plan:
+        total[r.source] += r.copies * r.n_tokens
+    shares = {r.source: r.weight for r in plan}
+    assert abs(sum(shares.values()) - 1) < 1e-9
+    for s, n in total.items():
+        assert abs(n / sum(total.values()) - shares[s]) < 0.01
+    assert min(r.copies for r in plan) >= 1 and max(r.copies for r in plan) <= 2
+    e = np.log([600, 200, 100]).mean() and mixing.exponent(spark.createDataFrame([("a", 600), ("b", 100)], "_source string, total long"), None, 0.6)
+    p = np.array([600.0, 100.0]) ** e
+    p /= p.sum()
+    assert -(p * np.log(p)).sum() == pytest.approx(0.6, abs=1e-4)
+    assert mixing.mixed(odd).columns == odd.columns and mixing.mixed(odd).count() >= odd.count()
+    assert mixing.mixing_plan(none).count() == 0
+
+
+def test_toxicity_held_out(spark, odd, none):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    scored = toxicity.toxicity(docs, labels).join(labels, "doc_id").filter("held_out").collect()
+    ranks = np.argsort(np.argsort([r.score for r in scored]))
+    y = np.array([r.toxic for r in scored])
+    area = (ranks[y == 1].mean() - (y.sum() - 1) / 2) / (len(y) - y.sum())
+    assert area > 0.95
+    got = toxicity.toxicity(odd, labels).collect()
+    assert len(got) == odd.count() and all(0 <= r.score <= 1 for r in got)
+    assert toxicity.toxicity(none, labels.filter("false")).count() == 0
+    assert toxicity.without_toxic(odd, labels.filter("false")).columns == odd.columns
+
+
+def test_licenses(spark):
+    mit, prose = "Released under the MIT License.", "the work of a day is done by hand and foot"
+    rows = [
+        (1, "a/b/c/1", prose), (2, "a/LICENSE", mit), (3, "a/b/3", f"{prose}\nLicensed under CC BY-NC 4.0."),
+        (4, "x/4", prose), (5, None, None), (6, "6", mit), (6, "6", mit), (7, "a/b/c/7", ""),
+    ]
+    files = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    got = {(r.doc_id, r.license, r.origin, r.directory) for r in licenses.license_scan(files, licenses.default_templates(spark)).collect()}
+    assert got == {
+        (1, "MIT", "directory", "a"), (2, "MIT", "header", None), (3, "CC-BY-NC-4.0", "header", None),
+        (4, None, None, None), (5, None, None, None), (6, "MIT", "header", None), (7, "MIT", "directory", "a"),
+    }
+    assert licenses.license_scan(files.filter("false"), licenses.default_templates(spark)).count() == 0

@@ -89,7 +89,7 @@ def dictionaries(toxic: list[str], ordinary: list[str], seed: int = 1) -> Distan
         with_word.update(set(text.lower().split()))
     for text in ordinary:
         without.update(set(text.lower().split()))
-    least = max(2, WORD_SHARE * len(toxic))
+    least = max(3, WORD_SHARE * len(toxic))
     odds = {
         w: np.log((n + 0.5) / (len(toxic) + 1)) - np.log((without[w] + 0.5) / (len(ordinary) + 1))
         for w, n in with_word.items()
