@@ -17,14 +17,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwright.llm.shared import id_and_text, staged
+from tillwright.llm.shared import id_and_text, release_memory, staged
 
 WORDS = 5
 SIMILARITY = 0.8
 #: Pairs at the similarity that bands find at least, and hashes for it at most.
 RECALL, HASHES = 0.9999, 128
 #: Classes, and n-grams of all its classes, in a tile on average.
-TILE_CLASSES, TILE_GRAMS = 1024, 1 << 20
+TILE_CLASSES, TILE_GRAMS = 768, 1 << 18
 
 _WORD = re.compile(r"\w+")
 _STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -57,7 +57,7 @@ class Grams:
         """Fewer words than a gram has are one gram; without a word the text is."""
         words = _WORD.findall(text.lower()) or [text]
         known = self._words
-        if len(known) > 500_000:
+        if len(known) > 150_000:
             known.clear()
         for word in words:
             if word not in known:
@@ -104,6 +104,7 @@ def _signatures(size: int, bands: int, rows: int):
                 ],
                 names=["doc_id", "row", "class", "n_grams", "bands"],
             )
+        release_memory()
 
     return run
 
@@ -162,16 +163,18 @@ def _verify(size: int, similarity: float):
         bands = np.stack(table.column("bands").to_numpy())
         grams_of = Grams(size)
         sets = [grams_of(t) for t in table.column("text").to_pylist()]
-        n = np.array([len(s) for s in sets], np.float64)
-        common = common_counts(sets).astype(np.float64)
-        linked = common >= similarity * (n[:, None] + n[None, :] - common) - 1e-9
+        n = np.array([len(s) for s in sets], np.float32)
+        common = common_counts(sets)
+        linked = common * (1 + similarity) >= similarity * (n[:, None] + n[None, :]) - 1e-3
         np.fill_diagonal(linked, False)
         if i != j:  # pairs within a tile have a task of their own
             linked &= tile[:, None] != tile[None, :]
         roots = _roots(linked)
         for band in range(first):
             linked &= bands[:, band][:, None] != bands[:, band][None, :]
-        links = (linked * weight[None, :]).sum(1)
+        links = linked @ weight
+        del common
+        release_memory()
         return pa.table(
             {
                 "class": pa.array(classes, pa.string()),

@@ -2,8 +2,10 @@
 
 import atexit
 import contextlib
+import ctypes
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,9 @@ from tillwright.sources.shared import shared_folder
 
 _FOLDERS = {}
 
+#: Rows of documents that a Python worker gets at once.
+BATCH_ROWS = 512
+
 
 def run_folder(spark: SparkSession) -> str:
     """This application's own folder in the shared one, removed when the driver's
@@ -41,13 +46,37 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_memory() -> None:
+    """Give back what a task has freed: its Python worker goes on to other tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def drop(df: DataFrame) -> None:
+    """Delete a table that ``staged`` wrote and nothing reads any more."""
+    for name in df.inputFiles()[:1]:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(name).getParent()
+        if run_folder(df.sparkSession).split(":")[-1] in path.toString():
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Batches of few rows for Python workers, for this session from now on: texts are
+    long, and a worker's memory follows the batch."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def id_and_text(docs: DataFrame) -> DataFrame:
     """The two columns that most operators read; a null text is an empty one.
     Other columns, whatever their names, are left behind."""
+    small_batches(docs.sparkSession)
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")
     )

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwright.llm.shared import id_and_text, staged
+from tillwright.llm.shared import drop, id_and_text, staged
 
 #: Bytes of a string that must not repeat, and of the grams that anchor it.
 LENGTH, GRAM = 400, 128
@@ -244,7 +244,7 @@ def halved(contexts: DataFrame, length: int, gram: int) -> DataFrame:
     spark = contexts.sparkSession
     reach = length - gram
     low = F.greatest(F.lit(0), F.col("left") + length - F.octet_length("context"))
-    work = contexts.withColumn("lo", F.lit(0)).withColumn("hi", F.lit(reach))
+    work = contexts_ = contexts.withColumn("lo", F.lit(0)).withColumn("hi", F.lit(reach))
     found = spark.createDataFrame([], _SPAN)
     edges = {"lo": low, "hi": F.least("hi", "left")}
     while True:
@@ -263,9 +263,8 @@ def halved(contexts: DataFrame, length: int, gram: int) -> DataFrame:
         keys, outer, core = ["gram", "lo", "hi"], ["o1", "o2"], ["k1", "k2"]
         many = rows.filter("inside").groupBy(*keys, *outer).agg(F.sum("times").alias("n")).filter("n > 1").drop("n")
         hits = rows.filter("open AND inside").join(many, [*keys, *outer], "left_semi")
-        found = found.union(
-            hits.select("row", (F.col("pos") - F.col("hi")).alias("start"), (F.col("pos") - F.col("lo") + length).alias("stop"))
-        )
+        start, stop = F.col("pos") - F.col("hi"), F.col("pos") - F.col("lo") + length
+        found = found.union(staged(hits.select("row", start.alias("start"), stop.alias("stop")), "spans"))
         alike = rows.groupBy(*keys, *core).agg(F.sum("times").alias("n")).filter("n > 1").drop("n")
         # Who repeats as a whole stays as a partner for the others, but is not open any more.
         rest = rows.filter("NOT one").join(alike, [*keys, *core], "left_semi")
@@ -275,13 +274,18 @@ def halved(contexts: DataFrame, length: int, gram: int) -> DataFrame:
         halves = F.array(
             F.struct(F.col("lo").alias("a"), middle.alias("b")), F.struct((middle + 1).alias("a"), F.col("hi").alias("b"))
         )
+        before = work
         work = staged(
             rest.withColumn("half", F.explode(halves))
             .drop("lo", "hi")
             .select("row", "pos", "gram", "left", "context", "open", "times", F.col("half.a").alias("lo"), F.col("half.b").alias("hi")),
             "halves",
         )
+        drop(rows)  # a round's contexts aren't kept beyond it
+        if before is not contexts_:
+            drop(before)
         if work.filter("open").limit(1).count() == 0:
+            drop(work)
             return found
 
 

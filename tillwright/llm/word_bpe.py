@@ -15,11 +15,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwright.llm.shared import blocks_for, id_and_text
+from tillwright.llm.shared import blocks_for, id_and_text, release_memory
 from tillwright.llm.words import Words
 
 #: Bytes of text in a block on average.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: Between the pieces of a decoded text; the vocabulary file names no decoder.
 JOINED_BY = " "
 
@@ -39,6 +39,7 @@ def _block_words(path: str):
                     [pa.array([block] * len(distinct), pa.int32()), pa.array(list(distinct), pa.string())],
                     names=["block", "word"],
                 )
+        release_memory()
 
     return run
 
@@ -52,6 +53,7 @@ def _encode(path: str):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("word"), batch.column("blocks"), ids], names=["word", "blocks", "ids"]
             )
+        release_memory()
 
     return run
 
@@ -91,6 +93,7 @@ def _lay_out(path: str):
                         by_chunk[chunk] = b"".join(map(ids.__getitem__, words.words(chunk)))
                 encoded.append(b"".join(map(by_chunk.__getitem__, chunks)))
                 decoded.append(JOINED_BY.join(map(piece.__getitem__, np.frombuffer(encoded[-1], "<u4").tolist())))
+        release_memory()
         return pa.table(
             {
                 "doc_id": pa.array(doc_ids, pa.int64()),
