@@ -383,8 +383,9 @@ QUERIES = {
         SELECT row_number() OVER (ORDER BY date, store_id) AS week_key, store_id, date FROM features""",
     "as_of_store_version": f"""
         SELECT store_id, version, store_type, size_category, count(*) AS num_sales, {amount('sum(cents)')} AS total_sales
-        FROM sales JOIN dim_store USING (store_id)
-        WHERE CAST(date + INTERVAL 14 YEAR AS DATE) BETWEEN effective_date AND end_date
+        FROM (SELECT sales.store_id, date, cents, version, store_type, size_category
+              FROM sales LEFT JOIN dim_store ON dim_store.store_id = sales.store_id
+              AND CAST(date + INTERVAL 14 YEAR AS DATE) BETWEEN effective_date AND end_date)
         GROUP BY store_id, version, store_type, size_category""",
     "dim_date": CALENDAR + "fact_days",
     "dim_date_range": CALENDAR + "day_range",
@@ -404,11 +405,13 @@ QUERIES = {
                FALSE AS is_high_margin
         FROM sales""",
     "dim_department_default": f"""
-        SELECT CASE WHEN department_id <= 30 THEN 'General Merchandise' WHEN department_id <= 60 THEN 'Food'
+        SELECT CASE WHEN department_id NOT BETWEEN 1 AND 99 THEN 'Unmapped'
+                    WHEN department_id <= 30 THEN 'General Merchandise' WHEN department_id <= 60 THEN 'Food'
                     WHEN department_id <= 90 THEN 'Apparel' ELSE 'Other' END AS department_category,
-               CASE WHEN department_id <= 45 THEN 'Discretionary' ELSE 'Staples' END AS department_group,
+               CASE WHEN department_id NOT BETWEEN 1 AND 99 THEN 'Unmapped'
+                    WHEN department_id <= 45 THEN 'Discretionary' ELSE 'Staples' END AS department_group,
                {amount('sum(cents)')} AS total_sales, count(*) AS num_records
-        FROM sales WHERE department_id BETWEEN 1 AND 99 GROUP BY 1, 2""",
+        FROM sales GROUP BY 1, 2""",
     "dim_promotion": f"""
         SELECT * REPLACE ({each('CAST(@ AS DOUBLE) AS @')}, CAST(total_markdown AS DOUBLE) AS total_markdown)
         FROM promotions""",

@@ -1,5 +1,6 @@
 """Every query with a SQL counterpart agrees with DuckDB, row for row."""
 
+import re
 from collections import Counter
 
 import duckdb
@@ -31,7 +32,9 @@ def duck(sf_dir):
 
 
 def test_registry_is_complete():
-    assert set(QUERIES) - set(STATEMENTS) == set(ROWS_ONLY)
+    # The operators that can be left out, and their tests, say themselves what has SQL.
+    own = {q for q in QUERIES if q != "pipeline" and not re.match(r"op\d+_", q)}
+    assert own - set(STATEMENTS) == set(ROWS_ONLY)
     assert set(STATEMENTS) <= set(QUERIES)
 
 

@@ -43,14 +43,28 @@ def extend_keys(existing: DataFrame, fresh: DataFrame, order_cols, name: str) ->
     return surrogate_key(fresh, order_cols, name, start=top + 1)
 
 
+def _packed(high: Column, *low: Column) -> Column:
+    """``high`` and 16 bits for each of ``low`` in one long. A value that doesn't
+    fit stops the job: it would share a key with another row."""
+    key, fits = high.cast("long"), F.lit(True)
+    for part in low:
+        key, fits = key * 65536 + part, fits & part.between(0, 65535)
+    wrong = F.raise_error(F.lit("a key field is not within 0 and 65535")).cast("long")
+    return F.when(~fits, wrong).otherwise(key)
+
+
 def store_version_key(store_id: Column, version: Column) -> Column:
     """Key of a store version, computed from (store_id, version) alone: no
     lookup, no shuffle, the same on every run. Holds 65,535 versions."""
-    return store_id.cast("long") * 65536 + version
+    return _packed(store_id, version)
 
 
 def sales_key(store_id: Column, department_id: Column, day: Column) -> Column:
     """Key of a (store, department, day) row packed into one long: 31 bits of
     store, 16 of department, 16 of days since 1970. Unique by construction."""
-    days = F.datediff(day, F.lit("1970-01-01").cast("date"))
-    return (store_id.cast("long") * 65536 + department_id) * 65536 + days
+    return _packed(store_id, department_id, F.datediff(day, F.lit("1970-01-01").cast("date")))
+
+
+def series_key(key: Column) -> Column:
+    """The (store, department) part of a sales key, the same for all versions of a store."""
+    return F.shiftright(key, 16)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 
 def upsert(
-    target: DataFrame, batch: DataFrame, keys, update_cols, touch_cols=()
+    target: DataFrame, batch: DataFrame, keys, update_cols, touch_cols=(), newer_by=()
 ) -> DataFrame:
     """Insert unseen keys; overwrite ``update_cols`` and ``touch_cols`` of seen ones.
 
@@ -13,6 +13,10 @@ def upsert(
     stay, even where the new value of an updated column is NULL. A row whose
     ``update_cols`` all equal the stored ones is left alone, so applying the
     same batch twice changes nothing, ``touch_cols`` (load stamps) included.
+
+    With ``newer_by`` the greater of the two rows in these columns wins instead,
+    whichever comes first, so batches may arrive in any order. They should start
+    with the load time and go on with what decides between rows of one load.
     """
     seen = batch.select(
         *[F.col(k) for k in keys],
@@ -24,6 +28,9 @@ def upsert(
     for column in update_cols:
         changed = changed | ~F.col(column).eqNullSafe(F.col(f"_new_{column}"))
     inserted = F.col("_in_target").isNull()
+    if newer_by:
+        new_order = F.struct(*[F.col(f"_new_{c}").alias(c) for c in newer_by])
+        changed = new_order > F.struct(*newer_by)
     overwritten = F.col("_in_batch").isNotNull() & changed
 
     def value(column):

@@ -17,7 +17,7 @@ from tillwright.functions.numeric import (
     percent_change,
     quotient,
 )
-from tillwright.operators.keys import extend_keys
+from tillwright.operators.keys import extend_keys, series_key
 from tillwright.operators.merge import absent, insert_absent
 from tillwright.schemas import (
     CPI,
@@ -284,6 +284,22 @@ def changed_since(sales: DataFrame, as_of, days: int = FACT_LOOKBACK_DAYS) -> Da
     return sales.filter(F.col("updated_at") >= since.cast("timestamp"))
 
 
+def changed_with_features(
+    sales: DataFrame, features: DataFrame, as_of, days: int = FACT_LOOKBACK_DAYS
+) -> DataFrame:
+    """Silver rows changed in the last ``days`` days, or whose week's features
+    were; such a row is stamped with the features' change. Columns that both
+    sides share beyond store and date, such as a partition's, join them too."""
+    fresh = changed_since(sales, as_of, days)
+    corrected = changed_since(features, as_of, days)
+    on = ["store_id", "date"] + [c for c in ("month_start",) if c in sales.columns and c in features.columns]
+    weeks = corrected.select(*on, F.col("updated_at").alias("_corrected"))
+    since = F.date_sub(F.lit(as_of).cast("date"), days).cast("timestamp")
+    others = sales.filter(~(F.col("updated_at") >= since)).join(weeks, on)
+    stamped = others.withColumn("updated_at", F.col("_corrected"))
+    return fresh.unionByName(stamped.select(*sales.columns))
+
+
 def fact_sales(
     sales: DataFrame,
     dates: DataFrame,
@@ -318,32 +334,38 @@ def fact_sales(
     )
 
 
-def fact_yoy(fact: DataFrame, mode: str = "rows") -> DataFrame:
-    """Add sales_vs_ly and sales_growth_pct (clamped to ±999.99).
+def last_year(fact: DataFrame, mode: str = "rows") -> DataFrame:
+    """Add sales_vs_ly, the amount of the same store and department a year ago.
 
-    ``rows`` looks 52 rows back within a store and department, whatever weeks
-    are missing; ``calendar`` looks at the week exactly 364 days earlier.
-    ``date_key`` sorts like the date, so no calendar join is needed. A window
-    holds the weeks of one store and department: bounded by the calendar.
+    ``rows`` looks 52 rows back, whatever weeks are missing; ``calendar`` at the
+    week exactly 364 days earlier. A series runs on over the versions of its
+    store, whose keys differ. ``date_key`` sorts like the date, so no calendar
+    join is needed. A window holds the weeks of one store and department:
+    bounded by the calendar.
     """
+    by_series = Window.partitionBy(series_key(F.col("sales_key")))
     if mode == "rows":
-        series = Window.partitionBy("store_key", "department_key").orderBy("date_key")
-        with_last_year = fact.withColumn("sales_vs_ly", F.lag("weekly_sales", 52).over(series))
+        earlier = F.lag("weekly_sales", 52).over(by_series.orderBy("date_key"))
     elif mode == "calendar":
-        day = F.to_date(F.col("date_key").cast("string"), "yyyyMMdd")
-        earlier = fact.select(
-            "store_key",
-            "department_key",
-            date_key(F.date_add(day, 364)).alias("date_key"),
-            F.col("weekly_sales").alias("sales_vs_ly"),
-        )
-        with_last_year = fact.join(earlier, ["store_key", "department_key", "date_key"], "left")
+        day = F.unix_date(F.to_date(F.col("date_key").cast("string"), "yyyyMMdd"))
+        # At most one row: a series has one row a day.
+        earlier = F.max("weekly_sales").over(by_series.orderBy(day).rangeBetween(-364, -364))
     else:
         raise ValueError(f"unknown mode {mode!r}")
+    return fact.withColumn("sales_vs_ly", earlier)
+
+
+def with_growth(fact: DataFrame) -> DataFrame:
+    """Add sales_growth_pct (clamped to ±999.99) to rows with sales_vs_ly."""
     last = F.col("sales_vs_ly")
     growth = F.round(percent_change(F.col("weekly_sales"), last), 2)
     clamped = F.least(F.lit(999.99).cast(PERCENT), F.greatest(F.lit(-999.99).cast(PERCENT), growth))
-    return with_last_year.withColumn("sales_growth_pct", F.when(last > 0, clamped).cast(PERCENT))
+    return fact.withColumn("sales_growth_pct", F.when(last > 0, clamped).cast(PERCENT))
+
+
+def fact_yoy(fact: DataFrame, mode: str = "rows") -> DataFrame:
+    """Add sales_vs_ly and sales_growth_pct; see last_year for ``mode``."""
+    return with_growth(last_year(fact, mode))
 
 
 # --- views ----------------------------------------------------------------------

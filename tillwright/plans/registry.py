@@ -29,12 +29,19 @@ _RUN = uuid.uuid4().hex[:12]
 _DONE = {}
 
 
+def _state(spark: SparkSession, sf_dir: str) -> list:
+    """Names, sizes and times of the input files: changed input is derived anew."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in found)
+
+
 class Tables:
     """Derived tables of one input folder, made on first use."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        source = hashlib.md5(sf_dir.encode()).hexdigest()[:8]
+        source = hashlib.md5(f"{sf_dir} {_state(spark, sf_dir)}".encode()).hexdigest()[:8]
         app = spark.sparkContext.applicationId
         self.root = f"{shared_folder(spark)}/derived/{app}-{_RUN}-{source}"
 
@@ -146,7 +153,7 @@ def all_store_weeks(t: Tables) -> DataFrame:
 
 
 def sales_as_of_version(t: Tables) -> DataFrame:
-    """Sales by the store version valid 14 years after the sale.
+    """Sales by the store version valid 14 years after the sale, NULL where none is.
 
     Sales are summed per store and week first: the lookup needs no more, and a
     store with very many rows then brings one row per week to the join.
@@ -166,15 +173,19 @@ def latest_features(t: Tables) -> DataFrame:
 
 
 def default_department_sales(t: Tables) -> DataFrame:
-    """Sales by the category and group of the pre-populated departments."""
+    """Sales by the category and group of the pre-populated departments; those of
+    other departments are "Unmapped"."""
     per_department = (
         t("silver.sales")
         .groupBy("department_id")
         .agg(F.sum("weekly_sales").alias("sales"), F.count("*").alias("n"))
     )
     return (
-        per_department.join(gold.dim_department_default(t.spark), "department_id")
-        .groupBy("department_category", "department_group")
+        per_department.join(gold.dim_department_default(t.spark), "department_id", "left")
+        .groupBy(
+            F.coalesce("department_category", F.lit("Unmapped")).alias("department_category"),
+            F.coalesce("department_group", F.lit("Unmapped")).alias("department_group"),
+        )
         .agg(F.sum("sales").alias("total_sales"), F.sum("n").alias("num_records"))
     )
 
@@ -244,11 +255,10 @@ def trained_status(t: Tables) -> DataFrame:
 
 
 def enough_rows(t: Tables) -> DataFrame:
-    """Whether the training guard accepts the table, from its full row count."""
-    return training(t).agg(
-        (F.count("*") >= models.MIN_TRAINING_ROWS).alias("accepted"),
-        F.count("*").alias("training_rows"),
-    )
+    """Whether the training guard accepts the table, beside its full row count."""
+    frame = training(t)
+    accepted = models.has_enough_rows(frame)
+    return frame.agg(F.count("*").alias("training_rows")).withColumn("accepted", F.lit(accepted))
 
 
 CHECKED_TABLES = [name for name in TABLE_KEYS]

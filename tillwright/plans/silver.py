@@ -74,11 +74,14 @@ def silver_features(bronze: DataFrame, as_of) -> DataFrame:
     """Clean weekly features of the loads of ``as_of``: one row per store and date.
 
     Rows need cpi > 0 and 0 <= unemployment <= 100; NULL and NaN fail (NaN
-    compares above every number). A negative or missing fuel price becomes 0,
-    a missing markdown 0.
+    compares above every number, so an upper bound rejects it, and cpi has
+    none). A negative or missing fuel price becomes 0, a missing markdown 0.
     """
     valid = recent(bronze, as_of).filter(
-        (F.col("cpi") > 0) & (F.col("unemployment") >= 0) & (F.col("unemployment") <= 100)
+        (F.col("cpi") > 0)
+        & ~F.isnan("cpi")
+        & (F.col("unemployment") >= 0)
+        & (F.col("unemployment") <= 100)
     )
     clean = valid.select(
         F.col("store").alias("store_id"),
@@ -106,7 +109,16 @@ def silver_sales(bronze: DataFrame, as_of) -> DataFrame:
     """Clean weekly sales of the loads of ``as_of``: one row per store,
     department and date. Negative amounts (returns) stay; of several rows of
     one load time the highest amount wins."""
-    valid = recent(bronze, as_of).filter(F.col("weekly_sales").isNotNull())
+    return _clean_sales(recent(bronze, as_of), _stamp(as_of))
+
+
+def loaded_sales(bronze: DataFrame) -> DataFrame:
+    """Clean weekly sales of all rows of ``bronze``, stamped with their load time."""
+    return _clean_sales(bronze, F.col("ingestion_timestamp"))
+
+
+def _clean_sales(loads: DataFrame, stamp) -> DataFrame:
+    valid = loads.filter(F.col("weekly_sales").isNotNull())
     clean = valid.select(
         F.col("store").alias("store_id"),
         F.col("dept").alias("department_id"),
@@ -123,8 +135,8 @@ def silver_sales(bronze: DataFrame, as_of) -> DataFrame:
         "department_id",
         "date",
         *SALES_VALUES,
-        _stamp(as_of).alias("created_at"),
-        _stamp(as_of).alias("updated_at"),
+        stamp.alias("created_at"),
+        stamp.alias("updated_at"),
     )
 
 

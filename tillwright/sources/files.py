@@ -2,22 +2,73 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
+
+
+_CORRUPT = "_corrupt_record"
+
+
+def _read_text_fields(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The columns of ``schema`` as text, matched by header name in any letter
+    case and order, with the whole line of a row that has too many or few fields."""
+    reader = spark.read.option("header", True).option("nullValue", "NA")
+    header = reader.csv(path).columns
+    places = {name.strip().lower(): i for i, name in enumerate(header)}
+    if len(places) < len(header):
+        raise ValueError(f"{path} repeats a column: {header}")
+    missing = [f.name for f in schema.fields if f.name not in places]
+    if missing:
+        raise ValueError(f"{path} has no column {missing}, only {header}")
+    text = StructType([StructField(n, StringType()) for n in [*header, _CORRUPT]])
+    # Every file of a folder must have this header: the reader compares them.
+    lines = (
+        reader.schema(text)
+        .option("enforceSchema", False)
+        .option("columnNameOfCorruptRecord", _CORRUPT)
+        .csv(path)
+    )
+    fields = [F.col(f"`{header[places[f.name]]}`").alias(f.name) for f in schema.fields]
+    return lines.select(*fields, _CORRUPT)
+
+
+def _typed(field: StructField) -> Column:
+    text = F.nullif(F.trim(F.col(field.name)), F.lit(""))
+    return text.try_cast(field.dataType).alias(field.name)
+
+
+def _unreadable(schema: StructType) -> Column:
+    """Whether a row has too many or few fields, or one that its type can't hold."""
+    found = F.col(_CORRUPT).isNotNull()
+    for field in schema.fields:
+        present = F.trim(F.col(field.name)) != ""
+        found = found | (F.coalesce(present, F.lit(False)) & _typed(field).isNull())
+    return found
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A headed CSV file or folder; ``NA`` and empty fields are NULL.
 
-    The reader splits large files by itself, so there is no chunk size.
-    Columns follow the schema's order; the header's letter case is ignored.
+    The reader splits large files by itself, so there is no chunk size. Columns
+    are matched by name, the header's letter case ignored, and come in the
+    schema's order; others are left out. A row that cannot be read stops the
+    job; ``read_csv_rows`` and ``rejected_rows`` keep such rows apart.
     """
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("nullValue", "NA")
-        .csv(path)
-    )
+    lines = _read_text_fields(spark, path, schema)
+    stop = F.raise_error(F.concat(F.lit(f"unreadable row in {path}: "), F.to_json(F.struct("*"))))
+    checked = lines.withColumn("_ok", F.when(_unreadable(schema), stop.cast("boolean")).otherwise(True))
+    return checked.filter("_ok").select(*[_typed(f) for f in schema.fields])
+
+
+def read_csv_rows(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The readable rows of a CSV source."""
+    lines = _read_text_fields(spark, path, schema)
+    return lines.filter(~_unreadable(schema)).select(*[_typed(f) for f in schema.fields])
+
+
+def rejected_rows(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rows ``read_csv_rows`` leaves out, as text, with the whole line where
+    it has too many or few fields."""
+    return _read_text_fields(spark, path, schema).filter(_unreadable(schema))
 
 
 def _as_text(column: Column, kind) -> Column:
@@ -52,8 +103,23 @@ def append_raw(df: DataFrame, path: str) -> None:
 
 
 def ingest(
-    spark: SparkSession, path: str, schema: StructType, source_file: str, ingested_at, target: str
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    source_file: str,
+    ingested_at,
+    target: str,
+    rejects: str | None = None,
 ) -> None:
-    """Read a CSV source, add audit columns, append to the raw table."""
+    """Read a CSV source, add audit columns, append to the raw table. Rows that
+    cannot be read are appended to ``rejects`` as text, or without it stop the job
+    before anything is appended."""
     stamp = F.lit(ingested_at).cast("timestamp")
-    append_raw(with_audit(read_csv(spark, path, schema), source_file, stamp), target)
+    if rejects is None:
+        append_raw(with_audit(read_csv(spark, path, schema), source_file, stamp), target)
+        return
+    refused = rejected_rows(spark, path, schema).withColumns(
+        {"ingestion_timestamp": stamp, "source_file": F.lit(source_file)}
+    )
+    append_raw(refused, rejects)
+    append_raw(with_audit(read_csv_rows(spark, path, schema), source_file, stamp), target)

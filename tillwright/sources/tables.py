@@ -1,5 +1,13 @@
-"""Parquet tables of the warehouse: replace, and merge by partition."""
+"""Parquet tables of the warehouse: replace, and merge by partition.
 
+A table is a folder of version folders, ``v00000001`` and on. Its current state
+is the highest version that Spark committed (it holds ``_SUCCESS``). A replace
+writes the next version and only then removes the one before it, so that a write
+cut short leaves the table as it was. A merge overwrites the partitions it
+touched inside the current version, at commit time.
+"""
+
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +17,14 @@ from tillwright.operators.merge import upsert
 from tillwright.sources.shared import shared_folder
 
 
-_STAGED = []
+class _Staged(threading.local):
+    """Folders staged by one thread: others may still be reading theirs."""
+
+    def __init__(self):
+        self.paths = []
+
+
+_STAGED = _Staged()
 
 
 def table_path(root: str, name: str) -> str:
@@ -17,11 +32,60 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name.replace('.', '/')}"
 
 
+def _files(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path, jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm_path, file_system = _files(spark, path)
+    file_system.delete(jvm_path, True)
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Version numbers in use, committed or not, ascending.
+
+    A folder with anything else in it isn't a table written here: rather than
+    take it for an absent one and replace it, fail.
+    """
+    jvm_path, file_system = _files(spark, path)
+    if not file_system.exists(jvm_path):
+        return []
+    names = [status.getPath().getName() for status in file_system.listStatus(jvm_path)]
+    other = [n for n in names if not (n[:1] == "v" and n[1:].isdigit())]
+    if other:
+        raise ValueError(f"{path} holds {sorted(other)[:5]}, which no table write left there")
+    return sorted(int(n[1:]) for n in names)
+
+
+def _version_path(path: str, version: int) -> str:
+    return f"{path}/v{version:08d}"
+
+
+def _committed(spark: SparkSession, path: str) -> bool:
+    jvm_path, file_system = _files(spark, f"{path}/_SUCCESS")
+    return file_system.exists(jvm_path)
+
+
+def current_path(spark: SparkSession, path: str) -> str | None:
+    """The folder of the table's current version, None if there is no table."""
+    for version in reversed(_versions(spark, path)):
+        folder = _version_path(path, version)
+        if _committed(spark, folder):
+            return folder
+    return None
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` holds a completely written table."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    file_system = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return file_system.exists(jvm_path)
+    return current_path(spark, path) is not None
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    folder = current_path(spark, path)
+    if folder is None:
+        raise ValueError(f"no table at {path}")
+    return spark.read.parquet(folder)
 
 
 def staged(df: DataFrame) -> DataFrame:
@@ -32,42 +96,58 @@ def staged(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/staged/{uuid.uuid4().hex}"
-    _STAGED.append(path)
+    _STAGED.paths.append(path)
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_staged(spark: SparkSession, keep: int = 0) -> None:
-    """Delete the tables this process staged, except the first ``keep``."""
-    while len(_STAGED) > keep:
-        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
-        jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+    """Delete the tables this thread staged, except the first ``keep``."""
+    while len(_STAGED.paths) > keep:
+        _delete(spark, _STAGED.paths.pop())
 
 
 def staged_count() -> int:
-    return len(_STAGED)
+    return len(_STAGED.paths)
 
 
 def replace_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Recompute-and-replace sink. ``df`` must not read ``path``: stage it first."""
+    """Recompute-and-replace sink: the next version, then the old ones go.
+    ``df`` may read the table itself."""
+    spark = df.sparkSession
+    before = _versions(spark, path)
+    folder = _version_path(path, before[-1] + 1 if before else 1)
     if partition_by is None:
-        df.write.mode("overwrite").parquet(path)
-        return
-    # Rebalancing splits a large partition over several tasks and joins small ones.
-    df.hint("rebalance", F.col(partition_by)).write.mode("overwrite").partitionBy(
-        partition_by
-    ).parquet(path)
+        df.write.mode("error").parquet(folder)
+    else:
+        # Rebalancing splits a large partition over several tasks and joins small ones.
+        df.hint("rebalance", F.col(partition_by)).write.mode("error").partitionBy(
+            partition_by
+        ).parquet(folder)
+    if not _committed(spark, folder):
+        raise ValueError("Spark left no _SUCCESS: marksuccessfuljobs must not be switched off")
+    for version in before:
+        _delete(spark, _version_path(path, version))
+
+
+def append_rows(df: DataFrame, path: str) -> None:
+    """Append to the current version of an existing table."""
+    df.write.mode("append").parquet(current_path(df.sparkSession, path))
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: str) -> None:
     """Replace only the partitions present in ``df``, at commit time: a failed
-    write leaves the table as it was."""
+    write leaves the table as it was. ``df`` must not read ``path``: stage it first."""
+    folder = current_path(df.sparkSession, path)
+    if folder is None:
+        replace_table(df, path, partition_by)
+        return
     (
         df.hint("rebalance", F.col(partition_by))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_by)
-        .parquet(path)
+        .parquet(folder)
     )
 
 
@@ -79,21 +159,22 @@ def merge_table(
     update_cols,
     touch_cols=(),
     partition_by: str | None = None,
+    newer_by=(),
 ) -> None:
     """Upsert ``batch`` into the table at ``path``, creating it if missing.
 
     With ``partition_by``, a column computed from the key, only the partitions
     that the batch touches are read and rewritten. The merged rows are staged
     before anything is replaced; a run cut short can simply be repeated, since
-    applying a batch twice equals applying it once.
+    applying a batch twice equals applying it once. ``newer_by``: see upsert.
     """
-    if not exists(spark, path):
+    folder = current_path(spark, path)
+    if folder is None:
         replace_table(batch, path, partition_by)
         return
-    target = spark.read.schema(batch.schema).parquet(path).select(*batch.columns)
+    target = spark.read.schema(batch.schema).parquet(folder).select(*batch.columns)
     if partition_by is None:
-        merged = upsert(target, batch, keys, update_cols, touch_cols)
-        replace_table(staged(merged), path)
+        replace_table(upsert(target, batch, keys, update_cols, touch_cols, newer_by), path)
         return
     batch = staged(batch)
     # One value per calendar month of the batch, used as a partition filter.
@@ -101,5 +182,5 @@ def merge_table(
     if not touched:
         return
     affected = target.filter(F.col(partition_by).isin(touched))
-    merged = staged(upsert(affected, batch, keys, update_cols, touch_cols))
+    merged = staged(upsert(affected, batch, keys, update_cols, touch_cols, newer_by))
     replace_partitions(merged, path, partition_by)

@@ -1,43 +1,38 @@
-"""Where training data comes from: the clean layer if it is there, else files."""
+"""Where training data comes from: the clean layer or files, as the caller says.
+
+The two give different frames (files are joined left and filled with medians),
+so the choice is an argument and never depends on how many rows are there.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tillwright import schemas
 from tillwright.plans import reports
 from tillwright.sources.files import read_csv
-from tillwright.sources.tables import exists, table_path
+from tillwright.sources.tables import read_table, table_path
 
-MIN_SILVER_ROWS = 100
 SILVER = ["silver.sales", "silver.stores", "silver.features"]
+SOURCES = ("silver", "files")
 
 
-def _has_silver(spark: SparkSession, root: str | None) -> bool:
-    if root is None or not all(exists(spark, table_path(root, name)) for name in SILVER):
-        return False
-    sales = spark.read.parquet(table_path(root, "silver.sales"))
-    return sales.limit(MIN_SILVER_ROWS + 1).count() > MIN_SILVER_ROWS
-
-
-def _resolve(spark, root, csv_dir, from_silver, from_files) -> DataFrame:
-    if _has_silver(spark, root):
-        return from_silver(*[spark.read.parquet(table_path(root, name)) for name in SILVER])
-    return from_files(
-        read_csv(spark, f"{csv_dir}/train.csv", schemas.RAW_SALES),
-        read_csv(spark, f"{csv_dir}/stores.csv", schemas.RAW_STORES),
-        read_csv(spark, f"{csv_dir}/features.csv", schemas.RAW_FEATURES),
-    )
+def _resolve(spark, source, place, from_silver, from_files) -> DataFrame:
+    if source == "silver":
+        return from_silver(*[read_table(spark, table_path(place, name)) for name in SILVER])
+    if source == "files":
+        return from_files(
+            read_csv(spark, f"{place}/train.csv", schemas.RAW_SALES),
+            read_csv(spark, f"{place}/stores.csv", schemas.RAW_STORES),
+            read_csv(spark, f"{place}/features.csv", schemas.RAW_FEATURES),
+        )
+    raise ValueError(f"source must be one of {SOURCES}, not {source!r}")
 
 
-def training_source(spark: SparkSession, root: str | None, csv_dir: str) -> DataFrame:
-    """Training frame from the clean layer, or from CSV files if that is
-    missing or holds no more than 100 sales rows."""
-    return _resolve(
-        spark, root, csv_dir, reports.training_frame, reports.training_frame_raw
-    )
+def training_source(spark: SparkSession, source: str, place: str) -> DataFrame:
+    """Training frame from the clean layer (``silver``: ``place`` is the warehouse
+    root) or from CSV files (``files``: their folder). A missing source raises."""
+    return _resolve(spark, source, place, reports.training_frame, reports.training_frame_raw)
 
 
-def promotion_source(spark: SparkSession, root: str | None, csv_dir: str) -> DataFrame:
+def promotion_source(spark: SparkSession, source: str, place: str) -> DataFrame:
     """Promotion frame, resolved like training_source."""
-    return _resolve(
-        spark, root, csv_dir, reports.promotion_frame, reports.promotion_frame_raw
-    )
+    return _resolve(spark, source, place, reports.promotion_frame, reports.promotion_frame_raw)
