@@ -160,7 +160,7 @@ def sales_as_of_version(t: Tables) -> DataFrame:
     """
     weeks = reports.store_weeks(t("silver.sales"))
     shifted = weeks.withColumn("valid_day", F.add_months("date", 14 * 12))
-    joined = as_of_dimension(shifted, t("gold.dim_store"), "store_id", "valid_day")
+    joined = as_of_dimension(shifted, t("gold.dim_store"), "store_id", "valid_day", "left")
     return joined.groupBy("store_id", "version", "store_type", "size_category").agg(
         F.sum("n").alias("num_sales"), F.sum("sales").alias("total_sales")
     )
