@@ -20,26 +20,40 @@ from tillwright.llm.words import Words
 
 #: Bytes of text in a block on average.
 BLOCK_BYTES = 8 << 20
+#: What a task gathers before it sends: distinct chunks of texts, and bytes of texts.
+HELD_CHUNKS, HELD_BYTES = 300_000, 16 << 20
 #: Between the pieces of a decoded text; the vocabulary file names no decoder.
 JOINED_BY = " "
 
 
 def _block_words(path: str):
-    """The distinct words of each batch by block, so that memory stays bounded."""
+    """Distinct words by block. Chunks are gathered over batches up to a bounded
+    number; a word that is in both halves of a split goes out twice."""
 
     def run(batches):
         words = Words(path)
+        found: dict[int, set] = {}
+        held = 0
         for batch in batches:
-            found: dict[int, set] = {}
             for block, text in zip(batch.column("block").to_pylist(), batch.column("text").to_pylist()):
-                found.setdefault(block, set()).update(words.chunks(text))
-            for block, chunks in found.items():
-                distinct = set().union(*map(words.words, chunks))
+                chunks = found.setdefault(block, set())
+                held -= len(chunks)
+                chunks.update(words.chunks(text))
+                held += len(chunks)
+            if held > HELD_CHUNKS:
+                yield from words_of(words, found)
+                found, held = {}, 0
+        yield from words_of(words, found)
+        release_memory()
+
+    def words_of(words: Words, found: dict[int, set]):
+        for block, chunks in found.items():
+            distinct = list(set().union(*map(words.words, chunks)))
+            for start in range(0, len(distinct), 50_000):
+                some = distinct[start : start + 50_000]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([block] * len(distinct), pa.int32()), pa.array(list(distinct), pa.string())],
-                    names=["block", "word"],
+                    [pa.array([block] * len(some), pa.int32()), pa.array(some, pa.string())], names=["block", "word"]
                 )
-        release_memory()
 
     return run
 
@@ -59,21 +73,33 @@ def _encode(path: str):
 
 
 def _pack(batches):
-    """The rows of each batch and block as one compressed Arrow stream."""
+    """The rows of some batches, by block, as one compressed Arrow stream each."""
+    held, size = [], 0
     for batch in batches:
-        blocks = batch.column("block").to_numpy()
-        order = np.argsort(blocks, kind="stable")
-        edges = np.flatnonzero(np.r_[True, np.diff(blocks[order]) != 0, True]) if len(order) else []
-        packer = zstandard.ZstdCompressor(level=3)
-        for a, b in zip(edges[:-1], edges[1:]):
-            rows = batch.select(["doc_id", "text"]).take(pa.array(order[a:b]))
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, rows.schema) as stream:
-                stream.write_batch(rows)
-            packed = packer.compress(sink.getvalue())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([blocks[order[a]]], pa.int32()), pa.array([packed], pa.binary())], names=["block", "packed"]
-            )
+        held.append(batch)
+        size += batch.nbytes
+        if size > HELD_BYTES:
+            yield from _packed(pa.Table.from_batches(held))
+            held, size = [], 0
+    if held:
+        yield from _packed(pa.Table.from_batches(held))
+    release_memory()
+
+
+def _packed(rows: pa.Table):
+    blocks = rows.column("block").to_numpy()
+    order = np.argsort(blocks, kind="stable")
+    edges = np.flatnonzero(np.r_[True, np.diff(blocks[order]) != 0, True]) if len(order) else []
+    packer = zstandard.ZstdCompressor(level=3)
+    for a, b in zip(edges[:-1], edges[1:]):
+        some = rows.select(["doc_id", "text"]).take(pa.array(order[a:b]))
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, some.schema) as stream:
+            stream.write_table(some)
+        packed = packer.compress(sink.getvalue())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([blocks[order[a]]], pa.int32()), pa.array([packed], pa.binary())], names=["block", "packed"]
+        )
 
 
 def _lay_out(path: str):

@@ -35,7 +35,10 @@ class Words:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             rules = json.load(file)
-        self._tokenizer = Tokenizer.from_file(path)
+        # Splitting needs no vocabulary, which takes most of the memory and time.
+        bare = rules | {"model": rules["model"] | {"vocab": {}, "merges": []}, "added_tokens": [], "post_processor": None}
+        self._path, self._model = path, None
+        self._normalizer = Tokenizer.from_str(json.dumps(bare)).normalizer
         pattern = rules["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self._rest = pre_tokenizers.Split(Regex(pattern), "removed", invert=True)
         # A word's bytes as the vocabulary writes them, and its merges alone.
@@ -49,7 +52,6 @@ class Words:
             first = {0xE0: 0xA0, 0xF0: 0x90}.get(lead, 0x80)
             tail = [first] + [0x80] * (1 if lead < 0xF0 else 2)
             self._mapped[lead] = "".join(m for m, _ in mapped(bytes([lead, *tail]).decode()))[0]
-        self._merges = Tokenizer(self._tokenizer.model)
         self.specials = {t["content"]: t["id"] for t in rules["added_tokens"]}
         self._special = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")")
 
@@ -69,7 +71,7 @@ class Words:
             return [chunk]
         if is_plain(chunk):
             return _PLAIN_WORDS.findall(chunk)
-        return [word for word, _ in self._rest.pre_tokenize_str(self._tokenizer.normalizer.normalize_str(chunk))]
+        return [word for word, _ in self._rest.pre_tokenize_str(self._normalizer.normalize_str(chunk))]
 
     def split(self, text: str) -> list[str]:
         return [word for chunk in self.chunks(text) for word in self.words(chunk)]
@@ -77,12 +79,14 @@ class Words:
     def encode_all(self, words: list[str]) -> list[list[int]]:
         """The ids of each word; the library gets them in one call."""
         mapped = [w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(self._mapped) for w in words]
-        encoded = self._merges.encode_batch_fast(mapped, add_special_tokens=False)
+        if self._model is None:
+            self._model = Tokenizer(Tokenizer.from_file(self._path).model)
+        encoded = self._model.encode_batch_fast(mapped, add_special_tokens=False)
         return [[self.specials[w]] if w in self.specials else e.ids for w, e in zip(words, encoded)]
 
     def pieces(self) -> list[tuple[int, str]]:
         """The vocabulary: every id and the piece it stands for."""
-        return sorted((i, piece) for piece, i in self._tokenizer.get_vocab(with_added_tokens=True).items())
+        return sorted((i, piece) for piece, i in Tokenizer.from_file(self._path).get_vocab(with_added_tokens=True).items())
 
 
 class ChunkIds(dict):
