@@ -4,13 +4,14 @@ The words of a corpus are far fewer than their occurrences. Spark splits the
 texts, encodes each distinct word once, and joins the ids back. The join is by
 block: documents are hashed into blocks of a bounded size, each distinct word
 knows the blocks it occurs in, and the ids are laid out by position where a
-block's texts meet its words. No occurrence of a word is shuffled, and texts
-travel compressed. Decoding joins each document's ids with the vocabulary's
+block's texts meet its words. No occurrence of a word is shuffled, and texts,
+words and ids travel compressed. Decoding joins each document's ids with the vocabulary's
 pieces, a table of fixed size that every task holds.
 """
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,8 +21,11 @@ from tillwright.llm.words import Words
 
 #: Bytes of text in a block on average.
 BLOCK_BYTES = 8 << 20
-#: What a task gathers before it sends: distinct chunks of texts, and bytes of texts.
-HELD_CHUNKS, HELD_BYTES = 300_000, 16 << 20
+#: What a task gathers before it sends: distinct chunks of texts, bytes of texts, and
+#: words with their blocks (and those of one more batch).
+HELD_CHUNKS, HELD_BYTES, HELD_WORDS = 300_000, 16 << 20, 400_000
+#: Blocks in which a word is encoded once.
+SPAN = 1024
 #: Between the pieces of a decoded text; the vocabulary file names no decoder.
 JOINED_BY = " "
 
@@ -59,14 +63,22 @@ def _block_words(path: str):
 
 
 def _encode(path: str):
+    """Each word once; then words and ids packed by the blocks that they occur in."""
+
     def run(batches):
         words = Words(path)
+        held, rows = [], 0
         for batch in batches:
-            encoded = words.encode_all(batch.column("word").to_pylist())
-            ids = pa.array([np.array(i, "<u4").tobytes() for i in encoded], pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("word"), batch.column("blocks"), ids], names=["word", "blocks", "ids"]
-            )
+            word, blocks = batch.column("word"), batch.column("blocks")
+            ids = pa.array([np.array(i, "<u4").tobytes() for i in words.encode_all(word.to_pylist())], pa.binary())
+            at = pc.list_parent_indices(blocks)
+            held.append(pa.table({"block": pc.list_flatten(blocks), "word": word.take(at), "ids": ids.take(at)}))
+            rows += len(at)
+            if rows > HELD_WORDS:
+                yield from _packed(pa.concat_tables(held).sort_by("word"))  # neighbours alike compress well
+                held, rows = [], 0
+        if held:
+            yield from _packed(pa.concat_tables(held).sort_by("word"))
         release_memory()
 
     return run
@@ -87,12 +99,14 @@ def _pack(batches):
 
 
 def _packed(rows: pa.Table):
+    """Rows with a column ``block``, by block, as one compressed Arrow stream each."""
     blocks = rows.column("block").to_numpy()
+    rows = rows.drop_columns("block")
     order = np.argsort(blocks, kind="stable")
     edges = np.flatnonzero(np.r_[True, np.diff(blocks[order]) != 0, True]) if len(order) else []
     packer = zstandard.ZstdCompressor(level=3)
     for a, b in zip(edges[:-1], edges[1:]):
-        some = rows.select(["doc_id", "text"]).take(pa.array(order[a:b]))
+        some = rows.take(pa.array(order[a:b]))
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, some.schema) as stream:
             stream.write_table(some)
@@ -102,15 +116,21 @@ def _packed(rows: pa.Table):
         )
 
 
+def _unpacked(packs: pa.Table):
+    for packed in packs.column("packed").to_pylist():
+        yield pa.ipc.open_stream(zstandard.decompress(packed)).read_all()
+
+
 def _lay_out(path: str):
-    def run(packs: pa.Table, table: pa.Table) -> pa.Table:
+    def run(packs: pa.Table, tables: pa.Table) -> pa.Table:
         words = Words(path)
         piece = dict(words.pieces())
-        ids = dict(zip(table.column("word").to_pylist(), table.column("ids").to_pylist()))
+        ids: dict[str, bytes] = {}
+        for rows in _unpacked(tables):
+            ids.update(zip(rows.column("word").to_pylist(), rows.column("ids").to_pylist()))
         by_chunk: dict[str, bytes] = {}
         doc_ids, encoded, decoded = [], [], []
-        for packed in packs.column("packed").to_pylist():
-            rows = pa.ipc.open_stream(zstandard.decompress(packed)).read_all()
+        for rows in _unpacked(packs):
             doc_ids += rows.column("doc_id").to_pylist()
             for text in rows.column("text").to_pylist():
                 chunks = words.chunks(text)
@@ -145,16 +165,17 @@ def encode_decode(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES) ->
     n = blocks_for(texts, block_bytes)
     dealt = texts.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int"))
     pairs = dealt.mapInArrow(_block_words(path), "block int, word string")
-    # One row per distinct word; it lists a block once, so no word makes a long row.
-    table = (
-        pairs.groupBy("word")
+    # One row per distinct word, or one for each SPAN blocks: a frequent word lists
+    # almost every block, so a row's length is bounded.
+    tables = (
+        pairs.groupBy("word", F.floor(F.col("block") / SPAN).alias("span"))
         .agg(F.collect_set("block").alias("blocks"))
-        .mapInArrow(_encode(path), "word string, blocks array<int>, ids binary")
+        .select("word", "blocks")
+        .mapInArrow(_encode(path), "block int, packed binary")
     )
-    needed = table.select(F.explode("blocks").alias("block"), "word", "ids")
     packs = dealt.mapInArrow(_pack, "block int, packed binary")
     return (
         packs.groupBy("block")
-        .cogroup(needed.groupBy("block"))
+        .cogroup(tables.groupBy("block"))
         .applyInArrow(_lay_out(path), "doc_id long, n_tokens long, ids binary, decoded string")
     )
