@@ -244,3 +244,10 @@ def test_licenses(spark):
         (4, None, None, None), (5, None, None, None), (6, "MIT", "header", None), (7, "MIT", "directory", "a"),
     }
     assert licenses.license_scan(files.filter("false"), licenses.default_templates(spark)).count() == 0
+
+
+def test_word_bpe_over_spans_of_blocks(spark, odd, monkeypatch):
+    row = lambda r: (r.doc_id is None, r.doc_id or 0, bytes(r.ids), r.decoded)
+    want = sorted(map(row, word_bpe.encode_decode(odd, WORD).collect()))
+    monkeypatch.setattr(word_bpe, "SPAN", 2)
+    assert sorted(map(row, word_bpe.encode_decode(odd, WORD, block_bytes=3000).collect())) == want
