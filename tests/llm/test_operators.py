@@ -251,3 +251,69 @@ def test_word_bpe_over_spans_of_blocks(spark, odd, monkeypatch):
     want = sorted(map(row, word_bpe.encode_decode(odd, WORD).collect()))
     monkeypatch.setattr(word_bpe, "SPAN", 2)
     assert sorted(map(row, word_bpe.encode_decode(odd, WORD, block_bytes=3000).collect())) == want
+
+
+def scanned(spark, texts, templates=None):
+    rows = [(i, f"d{i}/f", t) for i, t in enumerate(texts)]
+    files = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    found = licenses.license_scan(files, licenses.default_templates(spark) if templates is None else templates)
+    return {r.doc_id: r for r in found.collect()}
+
+
+def test_license_files_and_wrapped_headers(spark):
+    texts = dict(licenses.TEXTS)
+    names = sorted(texts)
+    found = scanned(spark, [f"Copyright (c) 2020 A. Person\nAll rights reserved.\n\n{texts[n]}" for n in names])
+    assert [found[i].license for i in range(len(names))] == names
+    rows = [(0, "a/LICENSE", f"MIT License\n\nCopyright (c) 2020 A. Person\n\n{texts['MIT']}"), (1, "a/b/code", "x = 1")]
+    files = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    got = {(r.doc_id, r.license, r.directory) for r in licenses.license_scan(files, licenses.default_templates(spark)).collect()}
+    assert got == {(0, "MIT", None), (1, "MIT", "a")}
+    code = "\n".join(f"value{i} = function{i}(argument{i}, {i})" for i in range(60))
+    files, want = [], []
+    for (name, header), width in zip(licenses.HEADERS + licenses.SENTENCES[:6], (5, 7, 9, 11, 13, 4) * 3):
+        words = header.split()
+        lines = [" * " + " ".join(words[i : i + width]) for i in range(0, len(words), width)]
+        files.append("\n".join(["/*", *lines, " */", code]))
+        want.append(name)
+    files += [code, "# SPDX-License-Identifier: LGPL-2.1-or-later\n" + code, "the of to a or and in that it is for as on by " * 400]
+    want += [None, "LGPL-2.1", None]
+    found = scanned(spark, files)
+    assert [found[i].license for i in range(len(files))] == want
+
+
+def brute_cosines(templates, text, threshold):
+    """The best licence of a text's whole, lines and blocks, as licenses.py defines it."""
+    terms = lambda t: re.findall("[a-z0-9]+", t.lower())
+    bags = [(n, collections.Counter(terms(t))) for n, t in templates]
+    df = collections.Counter(w for _, b in bags for w in b)
+    idf = collections.defaultdict(lambda: np.log(1 + len(bags)) + 1, {w: np.log((1 + len(bags)) / (1 + d)) + 1 for w, d in df.items()})
+    cosine = lambda a, b: sum(a[w] * b[w] * idf[w] ** 2 for w in a) / (length(a) * length(b))
+    length = lambda a: np.sqrt(sum((n * idf[w]) ** 2 for w, n in a.items()))
+    lines = [terms(t) for t in text.split("\n") if terms(t)]
+    words, best = sum(lines, []), []
+    begins = np.cumsum([0] + [len(t) for t in lines])[:-1]
+    for name, bag in bags:
+        n = sum(bag.values())
+        for unit in [words, *lines, *[words[b : b + n] for b in begins]]:
+            own = collections.Counter(unit)
+            both = (cosine(own, bag), cosine(dict.fromkeys(own, 1), collections.Counter(dict.fromkeys(bag, 1)))) if own else (0, 0)
+            if min(both) >= threshold:
+                best.append((-round(float(both[0]), 6), name))
+    return min(best, default=None)
+
+
+def test_license_cosines_equal_brute_force(spark):
+    templates = [("A", "alpha beta gamma delta"), ("B", "alpha beta epsilon zeta eta theta iota"), ("C", "gamma gamma kappa")]
+    rnd = random.Random(7)
+    words = sorted({w for _, t in templates for w in t.split()}) + ["x", "x", "x", "x", "y"]
+    texts = ["x x alpha beta epsilon zeta eta theta iota", "alpha beta gamma delta x y x1 y1", "alpha\nbeta gamma\ndelta\n" + "x y\n" * 9]
+    for _ in range(80):
+        base = rnd.choice(templates)[1].split() + [rnd.choice(words) for _ in range(rnd.randint(0, 6))]
+        texts.append("".join(w + rnd.choice("  \n") for w in base))
+    table = spark.createDataFrame(templates, "license string, text string")
+    found = scanned(spark, texts, table)
+    got = [found[i].license and (-found[i].cosine, found[i].license) for i in range(len(texts))]
+    want = [brute_cosines(templates, t, licenses.THRESHOLD) for t in texts]
+    assert [g and (pytest.approx(g[0], abs=2e-6), g[1]) for g in got] == want
+    assert found[0].license is None and {w[1] for w in want if w} == {"A", "B", "C"}
