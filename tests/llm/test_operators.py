@@ -317,3 +317,16 @@ def test_license_cosines_equal_brute_force(spark):
     want = [brute_cosines(templates, t, licenses.THRESHOLD) for t in texts]
     assert [g and (pytest.approx(g[0], abs=2e-6), g[1]) for g in got] == want
     assert found[0].license is None and {w[1] for w in want if w} == {"A", "B", "C"}
+
+
+def test_one_row_of_a_group_stays_whatever_its_ids(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    near = long + " more"
+    rows = [(1, long), (None, long), (None, "other words"), (2, "a b"), (2, "ab "), (2, "ab"), (7, near), (7, "seven"), (8, "seven")]
+    rows += [(None, None), (None, ""), (None, long.upper()), (None, long.upper() + " x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    once = [re.sub(" ", "", r.text or "") for r in exact_dedup.keep_one(docs).collect()]
+    assert sorted(once) == sorted({re.sub(" ", "", t or "") for _, t in rows})
+    kept = collections.Counter((r.doc_id, r.text or "") for r in ngram_join.one_of_each(docs).collect())
+    two = kept.pop((2, "ab "), 0) + kept.pop((2, "ab"), 0)
+    assert two == 1 and kept == collections.Counter([(1, long), (None, "other words"), (2, "a b"), (7, "seven"), (None, "")])

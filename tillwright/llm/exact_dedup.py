@@ -28,7 +28,7 @@ RUN_LENGTH = 1 << 14
 #: Parts in which the rows of one fingerprint reach the verification.
 SALTS = 16
 
-_DIGEST = "doc_id long, n_points long, fingerprint long, text_sha256 string"
+_DIGEST = "doc_id long, row long, n_points long, fingerprint long, text_sha256 string"
 _RUN = "quotient long, remainders array<long>, counts array<long>"
 
 
@@ -49,8 +49,8 @@ def _digests(batches):
             shas.append(hashlib.sha256(text).hexdigest())
         lengths = pc.utf8_length(batch.column("text")).cast(pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), lengths, pa.array(prints, pa.int64()), pa.array(shas, pa.string())],
-            names=["doc_id", "n_points", "fingerprint", "text_sha256"],
+            [batch.column("doc_id"), batch.column("row"), lengths, pa.array(prints, pa.int64()), pa.array(shas, pa.string())],
+            names=["doc_id", "row", "n_points", "fingerprint", "text_sha256"],
         )
 
 
@@ -61,11 +61,12 @@ def _texts(batches):
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
+                batch.column("row"),
                 lengths,
                 pa.array(map(_fingerprint, texts), pa.int64()),
                 pa.array(texts, pa.binary()),
             ],
-            names=["doc_id", "n_points", "fingerprint", "normalised"],
+            names=["doc_id", "row", "n_points", "fingerprint", "normalised"],
         )
 
 
@@ -146,7 +147,14 @@ def exact_duplicates(docs: DataFrame, run_length: int = RUN_LENGTH) -> DataFrame
     (``keep_one`` leaves a single one). An empty table gives no rows, and columns
     other than the two aren't read.
     """
+    return _judged(docs, run_length).drop("stays", "row")
+
+
+def _judged(docs: DataFrame, run_length: int = RUN_LENGTH) -> DataFrame:
+    """``exact_duplicates`` with each row's key, and whether it is the one that stays:
+    of rows alike in id and length, those of the smallest key do."""
     texts = id_and_text(docs)
+    texts = texts.withColumn("row", row_key(texts))
     digests = staged(texts.mapInArrow(_digests, _DIGEST), "digests")
     filters = quotient_filter(digests, digests.count(), run_length)
     again = staged(repeated(filters), "repeated")
@@ -155,11 +163,11 @@ def exact_duplicates(docs: DataFrame, run_length: int = RUN_LENGTH) -> DataFrame
     # second shuffle, and one row per distinct text is left.
     salted = again.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     routed = (
-        texts.mapInArrow(_texts, "doc_id long, n_points long, fingerprint long, normalised binary")
+        texts.mapInArrow(_texts, "doc_id long, row long, n_points long, fingerprint long, normalised binary")
         .withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
         .join(salted, ["fingerprint", "salt"], "left_semi")
     )
-    first = F.min(F.struct(-F.col("n_points"), F.col("doc_id").isNull(), F.col("doc_id"))).alias("first")
+    first = F.min(F.struct(-F.col("n_points"), F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))).alias("first")
     groups = (
         routed.groupBy("fingerprint", "normalised")
         .agg(first, F.count(F.lit(1)).alias("size"))
@@ -167,6 +175,7 @@ def exact_duplicates(docs: DataFrame, run_length: int = RUN_LENGTH) -> DataFrame
             F.sha2("normalised", 256).alias("text_sha256"),
             (-F.col("first.col1")).alias("keep_points"),
             F.col("first.doc_id").alias("keep_id"),
+            F.col("first.row").alias("keep_row"),
             "size",
         )
     )
@@ -179,16 +188,24 @@ def exact_duplicates(docs: DataFrame, run_length: int = RUN_LENGTH) -> DataFrame
             "kept"
         ),
         "text_sha256",
+        "row",
+        (~grouped | (F.col("row") == F.col("keep_row"))).alias("stays"),
     )
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns, each once."""
-    return keep_rows(docs, exact_duplicates(docs).filter("kept").select("doc_id"))
+    return keep_rows(docs, _judged(docs).filter("stays").select("row"))
+
+
+def row_key(docs: DataFrame, *more):
+    """A hash of a row's id and text, by which decisions about rows are carried back."""
+    return F.xxhash64(docs["doc_id"].cast("long"), F.coalesce(docs["text"], F.lit("")), *more)
 
 
-def keep_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows whose doc_id is in ``ids`` (null matches null), one for each id and text."""
-    ids = ids.select(F.col("doc_id").alias("_keep")).distinct()
-    kept = docs.join(ids, docs["doc_id"].eqNullSafe(ids["_keep"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"])
+def keep_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows whose key (``row_key``) is in ``rows`` (row), one for each id and text."""
+    rows = rows.select(F.col("row").alias("_row")).distinct()
+    # Two hashes tell apart the ids and texts that one might not.
+    keyed = docs.withColumns({"_row": row_key(docs), "_more": row_key(docs, F.lit(1))})
+    return keyed.join(rows, "_row", "left_semi").dropDuplicates(["_row", "_more"]).select(*docs.columns)

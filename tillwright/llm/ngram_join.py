@@ -17,6 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillwright.llm.exact_dedup import keep_rows, row_key
 from tillwright.llm.shared import id_and_text, release_memory, staged
 
 WORDS = 5
@@ -218,8 +219,14 @@ def similar(docs: DataFrame, size: int = WORDS, similarity: float = SIMILARITY)
     are linked to each other. Repeated rows are linked like other copies. An empty
     table gives no rows; other columns aren't read.
     """
+    return _joined(docs, size, similarity).drop("row", "first_row")
+
+
+def _joined(docs: DataFrame, size: int, similarity: float) -> DataFrame:
+    """``similar`` with each row's key, and the key of the first row of its class."""
     bands, rows = bands_for(similarity)
-    texts = id_and_text(docs).withColumn("row", F.xxhash64("doc_id", "text"))
+    texts = id_and_text(docs)
+    texts = texts.withColumn("row", row_key(texts))
     signed = staged(
         texts.mapInArrow(
             _signatures(size, bands, rows), "doc_id long, row long, class string, n_grams int, bands array<long>"
@@ -283,16 +290,17 @@ def similar(docs: DataFrame, size: int = WORDS, similarity: float = SIMILARITY)
         )
     )
     named = staged(named, "named")
-    rows_of = signed.select("doc_id", "class", "n_grams").join(named, "class")
-    firsts = rows_of.groupBy("component").agg(F.min("doc_id").alias("class_id"))
-    return rows_of.join(firsts, "component").select("doc_id", "class_id", "n_links", "n_grams")
+    rows_of = signed.select("doc_id", "row", "class", "n_grams").join(named, "class")
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))).alias("first")
+    firsts = rows_of.groupBy("component").agg(F.min("doc_id").alias("class_id"), first)
+    return rows_of.join(firsts, "component").select(
+        "doc_id", "class_id", "n_links", "n_grams", "row", F.col("first.row").alias("first_row")
+    )
 
 
 def one_of_each(docs: DataFrame, size: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs``, with their columns, that no row of a smaller doc_id is
-    joined to by links; one for each class. If all ids of a class are null, so is
-    its class_id, and those rows stay, once for each text."""
-    from tillwright.llm.exact_dedup import keep_rows
-
-    joined = similar(docs, size, similarity)
-    return keep_rows(docs, joined.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id"))
+    joined to by links; one for each class. Null ids come last; of rows alike
+    in id the one with the smallest key stays."""
+    joined = _joined(docs, size, similarity)
+    return keep_rows(docs, joined.filter(F.col("row") == F.col("first_row")).select("row"))
