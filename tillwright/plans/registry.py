@@ -217,12 +217,8 @@ def promotions(t: Tables) -> DataFrame:
     return reports.promotion_frame(t("silver.sales"), t("silver.stores"), t("silver.features"))
 
 
-# The registered forest is smaller than the default, which is meant for a cluster.
-FOREST = {"trees": 20, "depth": 8}
-
-
 def forecaster(t: Tables):
-    return t.model("forecaster", lambda: models.train_sales_forecaster(training(t), **FOREST))
+    return t.model("forecaster", lambda: models.train_sales_forecaster(training(t)))
 
 
 def promoter(t: Tables):
@@ -249,7 +245,7 @@ def allocations(t: Tables) -> DataFrame:
 def trained_status(t: Tables) -> DataFrame:
     root = f"{t.root}/models"
     if root not in _DONE:
-        models.train_all(training(t), promotions(t), root, trees=5, depth=5)
+        models.train_all(training(t), promotions(t), root)
         _DONE[root] = True
     return models.model_status(t.spark, root)
 
