@@ -13,15 +13,18 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tillwright.llm import exact_dedup, fingerprints, licenses, mixing, ngram_join, suffix_dedup
-from tillwright.llm import token_counts, token_files, toxicity, word_bpe
+from tillwright.llm import token_counts, token_files, toxicity, word_bpe, words
 
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
 WORD = public_tokenizers.path("word_bpe_49k.json")
 ODD = [
     None, "", "  ", "a", "a b c", "A  b\tc", "the  \n\n cat's they're", "x<|endoftext|>y", "été déjà 中文 😀é",
     "same words here again and again", "same words here again and again", "long " * 3000, "q" * 5000, "\x1cİΣ",
+    "\\", "a\\b", "".join(map(chr, range(9, 127))),
 ]
 ALPHABET = ["'", "r", "e", "ve", " ", "  ", "\n", "the", "é", "中", "!", "1", "<|endoftext|>", "ing", "😀", "́", "\x1c", "İ"]
+ALPHABET += [chr(c) for c in range(9, 127)]
+ALPHABET += ["\\begin{a}", '{"k": "a\\n"}', "\\"]
 
 
 @pytest.fixture(scope="module")
@@ -62,6 +65,14 @@ def test_token_counts(odd, none):
     assert [len(r.prefix_tokens) for r in token_counts.prefix_counts(odd.filter("doc_id = 4"), BYTE).collect()] == [6]
 
 
+def test_words_equal_the_library():
+    library, split = Tokenizer.from_file(WORD), words.Words(WORD)
+    texts = noise(3000, 2) + [t for t in ODD if t]
+    ids_of = words.ChunkIds(split)
+    for text, ids, encoded in zip(texts, ids_of.ids(texts), library.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(ids, "<u4").tolist() == encoded.ids, text
+
+
 def test_word_bpe_equals_the_library(spark, odd, none):
     library = Tokenizer.from_file(WORD)
     more = spark.createDataFrame(list(enumerate(noise(200))), "doc_id long, text string")

@@ -17,7 +17,7 @@ _PLAIN = re.compile("[\\t-\\r\x20-\x7e\xa0-\u012f\u0131-\u024f\u2010-\u2027\u203
 # The letters and numbers among them.
 LETTERS, NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾"
 # What the vocabulary file's pattern finds in a plain chunk.
-_PLAIN_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\\s{LETTERS}{NUMBERS}]+")
+_PLAIN_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\s{LETTERS}{NUMBERS}]+")
 
 
 def is_plain(text: str) -> bool:
