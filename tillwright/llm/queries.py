@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright.llm import (
+    decontamination,
     exact_dedup,
     fingerprints,
     licenses,
@@ -16,7 +17,7 @@ from tillwright.llm import (
     toxicity,
     word_bpe,
 )
-from tillwright.llm.shared import documents, new_folder
+from tillwright.llm.shared import benchmark, documents, new_folder
 
 #: The end of a document in token files.
 END_ID = 2
@@ -75,6 +76,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.ids_crc32(token_files.read_token_files(spark, folder))
 
 
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_licenses": op2_licenses,
@@ -86,6 +91,7 @@ QUERIES = {
     "op8_word_bpe": op8_word_bpe,
     "op9_toxicity": op9_toxicity,
     "op10_token_files": op10_token_files,
+    "op13_decontamination": op13_decontamination,
 }
 
 ORACLE_SQL = {
@@ -104,4 +110,39 @@ ORACLE_SQL = {
                sha256(t.norm) AS text_sha256
         FROM t JOIN g USING (norm)
     """,
+    "op13_decontamination": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS rid, doc_id,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ), i AS (
+            SELECT item_id,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark
+        ), starts AS (
+            SELECT item_id, w, least(10, len(w)) AS k, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS s
+            FROM i WHERE len(w) > 0
+        ), windows AS (
+            SELECT DISTINCT item_id, k, array_to_string(w[s:s + k - 1], ' ') AS g FROM starts
+        ), places AS (
+            SELECT rid, w, k, unnest(range(1, len(w) - k + 2)) AS s
+            FROM d, (SELECT DISTINCT k FROM windows) WHERE len(w) >= k
+        ), grams AS (
+            SELECT rid, k, s, array_to_string(w[s:s + k - 1], ' ') AS g FROM places
+        ), found AS (
+            SELECT rid, s, k, item_id FROM grams JOIN windows USING (k, g)
+        ), hit AS (
+            SELECT rid, count(DISTINCT word) AS n_hit
+            FROM (SELECT rid, unnest(range(s, s + k)) AS word FROM found) GROUP BY rid
+        ), named AS (
+            SELECT rid, count(DISTINCT item_id) AS n_items,
+                   string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items
+            FROM found GROUP BY rid
+        )
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hit USING (rid) LEFT JOIN named USING (rid)
+    """,
 }

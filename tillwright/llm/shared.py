@@ -65,6 +65,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
 def small_batches(spark: SparkSession) -> None:
     """Batches of few rows for Python workers, for this session from now on: texts are
     long, and a worker's memory follows the batch."""
