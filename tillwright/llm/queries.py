@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright.llm import (
+    alignment,
     decontamination,
     exact_dedup,
     fingerprints,
@@ -76,6 +77,12 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.ids_crc32(token_files.read_token_files(spark, folder))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50k byte-level vocabulary (A) against the 32k pieces (B)."""
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.alignment_counts(documents(spark, sf_dir), a, b)
+
+
 def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(documents(spark, sf_dir), benchmark(spark, sf_dir))
 
@@ -91,6 +98,7 @@ QUERIES = {
     "op8_word_bpe": op8_word_bpe,
     "op9_toxicity": op9_toxicity,
     "op10_token_files": op10_token_files,
+    "op12_alignment": op12_alignment,
     "op13_decontamination": op13_decontamination,
 }
 

@@ -46,7 +46,7 @@ _RUNS = regex.compile(r"\s\s+")
 _LAST = itemgetter(-1)
 
 
-def _byte_of() -> dict[str, int]:
+def byte_of() -> dict[str, int]:
     others = [b for b in range(256) if b not in set(_PRINTABLE)]
     return {chr(b): b for b in _PRINTABLE} | {chr(256 + i): b for i, b in enumerate(others)}
 
@@ -73,15 +73,15 @@ class PrefixCounter:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             rules = json.load(file)
-        byte_of = _byte_of()
-        as_bytes = lambda mapped: bytes(map(byte_of.__getitem__, mapped))
+        of_character = byte_of()
+        as_bytes = lambda mapped: bytes(map(of_character.__getitem__, mapped))
         merges = [tuple(map(as_bytes, pair)) for pair in rules["model"]["merges"]]
         self._ranks = {pair: i for i, pair in enumerate(merges)}
         self._made_of = {left + right: (left, right) for left, right in reversed(merges)}
         # The vocabulary's tokens by their bytes from last to first.
         self._endings: dict = {}
         for token in rules["model"]["vocab"]:
-            if all(c in byte_of for c in token):
+            if all(c in of_character for c in token):
                 node = self._endings
                 for byte in reversed(as_bytes(token)):
                     node = node.setdefault(byte, {})
