@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
 
@@ -12,7 +13,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tillwright.llm import alignment, decontamination
+from tillwright.llm import alignment, decontamination, lexical_search
 
 BYTE, PIECE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 ODD = [
@@ -203,3 +204,56 @@ def test_long_texts_are_scanned_in_pieces():
             assert decontamination.scan(b" ".join(words), searches) == whole
         finally:
             decontamination.pieces.__defaults__ = original
+
+
+def brute_ranking(docs, items, top):
+    """Rows (item_id, rank, doc_id, score) by scoring every document."""
+    terms = lambda t: collections.Counter(re.findall("[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")))
+    found = [(d, terms(t)) for d, t in docs]
+    df = collections.Counter(t for _, c in found for t in c)
+    n_docs, n_terms = sum(bool(c) for _, c in found), sum(c.total() for _, c in found)
+    for item_id, text in items:
+        scores = []
+        for doc_id, c in found:
+            m = 100 - 25 + 25 * c.total() * n_docs // n_terms if n_terms else 0
+            score = 0
+            for t, n in terms(text).items():
+                if c[t]:
+                    score += n * math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 12 * m))
+            if score > 0:
+                scores.append((-score, doc_id is None, doc_id or 0, doc_id))
+        for rank, (score, _, _, doc_id) in enumerate(sorted(scores)[:top], 1):
+            yield item_id, rank, doc_id, -score
+
+
+@pytest.mark.parametrize(("shard_docs", "block_docs", "item_bytes", "top"), [(4096, 32, 1 << 20, 20), (7, 2, 300, 3), (50, 4, 2000, 5)])
+def test_ranking_equals_brute_force(spark, passages, monkeypatch, shard_docs, block_docs, item_bytes, top):
+    monkeypatch.setattr(lexical_search, "SHARD_DOCS", shard_docs)
+    odd, _ = passages
+    rnd = random.Random(8)
+    words = [f"w{int(rnd.paretovariate(0.6)) % 300}" for _ in range(400)] + ["É", "中", "It's"]
+    text = lambda n: "".join(rnd.choice(words) + rnd.choice([" ", "\n", "-", "\\"]) for _ in range(n))
+    docs = [(i, text(rnd.choice([3, 20, 60]))) for i in range(300)]
+    docs += [(1000 + i, docs[i % 9][1]) for i in range(40)] + [(5, docs[5][1]), (None, docs[6][1]), (None, docs[7][1])]  # ties
+    items = [(i, text(rnd.choice([1, 5, 40]))) for i in range(30)] + [(30, docs[3][1]), (31, ""), (32, None), (None, "w1 w1 w2"), (3, "w5 w9"), (3, "w5 w9"), (33, "nowhere")]
+    docs = odd.select("doc_id", "text", "row", "items").union(spark.createDataFrame([(*d, 1, "") for d in docs], "doc_id long, text string, row int, items string"))
+    items = spark.createDataFrame([(*i, 1, "x") for i in items], "item_id long, text string, item int, rank string")
+    got = collections.Counter(tuple(r) for r in lexical_search.ranked(docs, items, top, block_docs, item_bytes).collect())
+    want = brute_ranking([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in items.collect()], top)
+    assert got == collections.Counter(want)
+    if top == 20:
+        assert lexical_search.ranked(docs.filter("false"), items).count() == 0
+        assert lexical_search.ranked(docs, items.filter("false")).count() == 0
+
+
+def test_blocks_are_skipped_only_by_their_bounds():
+    """Blocks hold each document of a term once, and summaries are maxima of theirs."""
+    rnd = np.random.default_rng(2)
+    impacts = (rnd.integers(0, 900, (200, 40)) * (rnd.random((200, 40)) < 0.3)).astype(np.int32)
+    beside = [np.arange(c, 40) for c in range(40)]
+    shard = lexical_search.Shard(list(range(200)), impacts, np.arange(40, 0, -1), beside, 8)
+    for column in range(40):
+        members, bounds, summaries = shard.blocks(column)
+        assert sorted(members) == np.flatnonzero(impacts[:, column]).tolist() and bounds[-1] == len(members)
+        for a, b, summary in zip(bounds[:-1], bounds[1:], summaries):
+            assert (summary == impacts[members[a:b], column:].max(axis=0)).all()

@@ -9,6 +9,7 @@ from tillwright.llm import (
     decontamination,
     exact_dedup,
     fingerprints,
+    lexical_search,
     licenses,
     mixing,
     ngram_join,
@@ -77,6 +78,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.ids_crc32(token_files.read_token_files(spark, folder))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 50k byte-level vocabulary (A) against the 32k pieces (B)."""
     a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -98,6 +103,7 @@ QUERIES = {
     "op8_word_bpe": op8_word_bpe,
     "op9_toxicity": op9_toxicity,
     "op10_token_files": op10_token_files,
+    "op11_lexical_search": op11_lexical_search,
     "op12_alignment": op12_alignment,
     "op13_decontamination": op13_decontamination,
 }
@@ -118,6 +124,40 @@ ORACLE_SQL = {
                sha256(t.norm) AS text_sha256
         FROM t JOIN g USING (norm)
     """,
+    "op11_lexical_search": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS rid, doc_id,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ), corpus AS (
+            SELECT count(*) FILTER (len(w) > 0) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d
+        ), tf AS (
+            SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(w) AS term FROM d) GROUP BY rid, term
+        ), weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight
+            FROM tf, corpus GROUP BY term
+        ), norms AS (
+            SELECT rid, doc_id, 75 + (25 * CAST(len(w) AS BIGINT) * n_docs) // n_terms AS m FROM d, corpus WHERE len(w) > 0
+        ), impacts AS (
+            SELECT rid, doc_id, term, weight * ((1000000000 * tf) // (1000 * tf + 12 * m)) AS impact
+            FROM tf JOIN norms USING (rid) JOIN weights USING (term)
+        ), q AS (
+            SELECT qid, item_id, unnest(w) AS term
+            FROM (SELECT row_number() OVER () AS qid, item_id,
+                         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+                  FROM benchmark)
+        ), scores AS (
+            SELECT qid, item_id, rid, doc_id, CAST(sum(impact) AS BIGINT) AS score
+            FROM q JOIN impacts USING (term) GROUP BY qid, item_id, rid, doc_id
+        ), places AS (
+            SELECT item_id, doc_id, score,
+                   CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+            FROM scores WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM places WHERE rank <= 20
+    """,
     "op13_decontamination": r"""
         WITH d AS (
             SELECT row_number() OVER () AS rid, doc_id,
