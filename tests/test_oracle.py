@@ -14,13 +14,7 @@ TABLES = (
     "pages benchmark labels conversations"
 ).split()
 QUERIES, STATEMENTS = entry.queries(), entry.oracle_sql()
-ROWS_ONLY = [
-    "train_sales_forecaster",
-    "train_promotion_impact",
-    "score_sales",
-    "optimize_markdown",
-    "model_status",
-]
+ROWS_ONLY = ["forecaster_metrics", "forecast_sales", "train_promotion_impact", "optimize_markdown"]
 
 
 @pytest.fixture(scope="module")

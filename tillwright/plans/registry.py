@@ -20,10 +20,11 @@ from tillwright.operators.merge import insert_absent, upsert
 from tillwright.operators.scd2 import scd2_from_history
 from tillwright.plans import gold, marts, models, quality, reports, silver
 from tillwright.schemas import TABLE_KEYS
-from tillwright.sources import orderlines
+from tillwright.sources import model_store, orderlines
 from tillwright.sources.files import append_raw
 from tillwright.sources.orderlines import LOAD1, LOAD2
 from tillwright.sources.shared import shared_folder
+from tillwright.sources.tables import drop_staged, staged_count
 
 _RUN = uuid.uuid4().hex[:12]
 _DONE = {}
@@ -56,13 +57,6 @@ class Tables:
             _DONE[path] = True
         return self.spark.read.parquet(path)
 
-    def model(self, name: str, train):
-        """A model trained on first use: (model, metrics)."""
-        path = f"{self.root}/{name}"
-        if path not in _DONE:
-            _DONE[path] = train()
-        return _DONE[path]
-
 
 BUILDERS = {
     "raw.sales": lambda t: orderlines.raw_sales(t.spark, t.sf_dir),
@@ -204,11 +198,6 @@ def keyed_weeks(t: Tables) -> DataFrame:
     return key_ops.surrogate_key(weeks, ["date", "store_id"], "week_key")
 
 
-def _metrics(spark: SparkSession, metrics: dict) -> DataFrame:
-    columns = [F.lit(value).cast("double").alias(name) for name, value in sorted(metrics.items())]
-    return spark.range(1).select(*columns)
-
-
 def training(t: Tables) -> DataFrame:
     return reports.training_frame(t("silver.sales"), t("silver.stores"), t("silver.features"))
 
@@ -217,12 +206,49 @@ def promotions(t: Tables) -> DataFrame:
     return reports.promotion_frame(t("silver.sales"), t("silver.stores"), t("silver.features"))
 
 
-def forecaster(t: Tables):
-    return t.model("forecaster", lambda: models.train_sales_forecaster(training(t)))
+def model_root(t: Tables) -> str:
+    """The folder of both models, trained at their default size and saved on first use."""
+    root = f"{t.root}/models"
+    if root not in _DONE:
+        others = staged_count()
+        models.train_all(training(t), promotions(t), root)
+        drop_staged(t.spark, keep=others)
+        _DONE[root] = True
+    return root
+
+
+def _counts(t: Tables, name: str) -> DataFrame:
+    """A model's errors and row counts."""
+    errors = ", ".join(f"{e} double" for e in ("mae", "mae_of_mean", "r2", "training_mae", "training_mae_of_mean"))
+    metrics = f"{errors}, training_rows long, test_rows long, trees long"
+    about = models.model_status(t.spark, model_root(t)).filter(F.col("model") == name)
+    return about.select(F.from_json("metrics", metrics).alias("of")).select("of.*")
+
+
+def trained_forecaster(t: Tables) -> DataFrame:
+    """The forecaster's counts, and what must hold of its errors."""
+    table = model_store.load_model(model_root(t), models.SALES_MODEL).table
+    whole = table.agg(F.countDistinct("tree").alias("trees_grown"))
+    return _counts(t, models.SALES_MODEL).crossJoin(whole).select(  # one row each
+        "training_rows",
+        "test_rows",
+        "trees_grown",
+        (F.col("training_mae") < 0.7 * F.col("training_mae_of_mean")).alias("fits_training_rows"),
+        # The given amounts follow no feature: there a deep forest errs a little more than the mean.
+        (F.col("mae") < 1.1 * F.col("mae_of_mean")).alias("holds_on_test_rows"),
+    )
+
+
+def forecaster_metrics(t: Tables) -> DataFrame:
+    return _counts(t, models.SALES_MODEL)
+
+
+def promoter_metrics(t: Tables) -> DataFrame:
+    return _counts(t, models.PROMOTION_MODEL).drop("trees")
 
 
 def promoter(t: Tables):
-    return t.model("promoter", lambda: models.train_promotion_impact(promotions(t)))
+    return model_store.load_model(model_root(t), models.PROMOTION_MODEL)
 
 
 def forecasts(t: Tables) -> DataFrame:
@@ -231,7 +257,17 @@ def forecasts(t: Tables) -> DataFrame:
         ["store_id", "date"],
         "left",
     )
-    return models.score_sales(requests, forecaster(t)[0])
+    return models.score_sales(requests, model_store.load_model(model_root(t), models.SALES_MODEL))
+
+
+def forecast_bounds(t: Tables) -> DataFrame:
+    """One row per request: its number of forecasts, and whether they lie within the
+    amounts the forest has seen."""
+    seen = t("silver.sales").agg(F.min("weekly_sales").alias("least"), F.max("weekly_sales").alias("most")).first()
+    within = F.col("predicted_sales").between(float(seen["least"]), float(seen["most"]))
+    return forecasts(t).groupBy("store_id", "department_id", "date").agg(
+        F.count("predicted_sales").alias("forecasts"), F.bool_and(within).alias("within_sales_seen")
+    )
 
 
 def allocations(t: Tables) -> DataFrame:
@@ -239,15 +275,13 @@ def allocations(t: Tables) -> DataFrame:
         (F.sum(F.abs("weekly_sales")) / 100 + 1).cast("double").alias("budget"),
         F.lit(False).alias("is_holiday"),
     )
-    return models.optimize_markdown(requests, t("silver.stores"), promoter(t)[0])
+    return models.optimize_markdown(requests, t("silver.stores"), promoter(t))
 
 
 def trained_status(t: Tables) -> DataFrame:
-    root = f"{t.root}/models"
-    if root not in _DONE:
-        models.train_all(training(t), promotions(t), root)
-        _DONE[root] = True
-    return models.model_status(t.spark, root)
+    status = models.model_status(t.spark, model_root(t))
+    counts = F.from_json("metrics", "training_rows long, test_rows long")
+    return status.select("model", "trained", "version", counts.alias("of")).select("model", "trained", "version", "of.*")
 
 
 def enough_rows(t: Tables) -> DataFrame:
@@ -382,9 +416,11 @@ QUERIES = {
         t("silver.sales"), t("silver.features")
     ),
     # models
-    "train_sales_forecaster": lambda t: _metrics(t.spark, forecaster(t)[1]),
-    "train_promotion_impact": lambda t: _metrics(t.spark, promoter(t)[1]),
-    "score_sales": forecasts,
+    "train_sales_forecaster": trained_forecaster,
+    "forecaster_metrics": forecaster_metrics,
+    "train_promotion_impact": promoter_metrics,
+    "score_sales": forecast_bounds,
+    "forecast_sales": forecasts,
     "optimize_markdown": allocations,
     "model_status": trained_status,
     "training_guard": enough_rows,
