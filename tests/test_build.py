@@ -1,6 +1,7 @@
 """The daily run over several load days, the stream, CSV faults and sources."""
 
 import os
+import re
 from datetime import timedelta
 from decimal import Decimal
 
@@ -122,9 +123,85 @@ def test_a_cut_off_replace_keeps_the_table(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.replace_table(spark.range(3), path)
     os.makedirs(f"{path}/v00000002")  # a later version without _SUCCESS
+    spark.range(9).write.parquet(f"{path}/data/table_write=2")
     assert tables.read_table(spark, path).count() == 3
     tables.replace_table(tables.read_table(spark, path).limit(2), path)
-    assert tables.read_table(spark, path).count() == 2 and os.listdir(path) == ["v00000003"]
+    assert tables.read_table(spark, path).count() == 2
+    assert sorted(os.listdir(path)) == ["data", "v00000001", "v00000003"]
+    assert sorted(os.listdir(f"{path}/data")) == ["table_write=1", "table_write=3"]
+    tables.replace_table(spark.range(5), path)
+    assert sorted(os.listdir(path)) == ["data", "v00000003", "v00000004"]
+    assert sorted(os.listdir(f"{path}/data")) == ["table_write=3", "table_write=4"]
+
+
+def monthly(spark, amounts):
+    return spark.createDataFrame([(k, m, p, v) for (k, m, p), v in amounts.items()], "k int, m int, p string, v int")
+
+
+def merged(spark, path, amounts):
+    tables.merge_table(spark, path, monthly(spark, amounts), ["k", "m"], ["v"], partition_by="m")
+
+
+def test_a_write_of_several_partitions_takes_effect_in_one_step(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    first = {(k, m, "a/b"): k * m for k in (1, 2) for m in (1, 2, 3)}
+    merged(spark, path, first)
+    before = rows(tables.read_table(spark, path))
+    assert before == rows(monthly(spark, first))
+    # Stopped when all files of two partitions are there, and when only one partition's are.
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "_commit", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            merged(spark, path, {(1, 1, "a/b"): 70, (3, 2, "a/b"): 80})
+    assert sorted(p for p in os.listdir(f"{path}/data/table_write=2") if "=" in p) == ["m=1", "m=2"]
+    assert rows(tables.read_table(spark, path)) == before
+    os.makedirs(f"{path}/data/table_write=3/m=1")
+    assert rows(tables.read_table(spark, path)) == before
+    # A reader of the version before goes on reading it while partitions are replaced.
+    reader = tables.read_table(spark, path)
+    merged(spark, path, {(1, 1, "a/b"): 7, (3, 2, "c"): 8})
+    after = {**first, (1, 1, "a/b"): 7, (3, 2, "c"): 8}
+    assert rows(reader) == before and rows(tables.read_table(spark, path)) == rows(monthly(spark, after))
+    parts = tables.current(spark, path).parts
+    assert parts == [("m=1", 4), ("m=2", 4), ("m=3", 1)]
+    assert sorted(os.listdir(f"{path}/data")) == ["table_write=1", "table_write=4"]
+    merged(spark, path, {(1, 1, "a/b"): 9})
+    assert sorted(p for p in os.listdir(f"{path}/data/table_write=1") if "=" in p) == ["m=3"]
+    tables.drop_staged(spark)
+
+
+def test_partitions_are_pruned(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.replace_table(monthly(spark, {(k, m, "x"): 1 for k in (1, 2) for m in (1, 2, 3)}), path, ["m", "k"])
+    some = tables.read_table(spark, path).filter("m = 2 AND k IN (1, 2)")
+    assert rows(some, "m", "k") == [(2, 1), (2, 2)]
+    assert scanned(some) == 2
+    tables.replace_partitions(some.withColumn("v", F.lit(5)).filter("k = 1"), path, ["m", "k"])
+    assert rows(tables.read_table(spark, path).filter("v = 5"), "m", "k") == [(2, 1)]
+    assert tables.read_table(spark, path).count() == 6
+
+
+def scanned(df):
+    """Partitions that the scans of a run of ``df`` read."""
+    df = df.select("*")
+    execution = df._jdf.queryExecution()
+    scans = re.findall(r"PartitionFilters: \[(.*?)\]", execution.executedPlan().toString())
+    assert any("IN" in s or "=" in s for s in scans), scans
+    return len({os.path.dirname(f) for f in df.inputFiles()} & {os.path.dirname(f) for (f,) in df.select(F.input_file_name()).distinct().collect()})
+
+
+def test_appends_are_joined_at_last(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "MOST_APPENDS", 3)
+    path = str(tmp_path / "t")
+    tables.replace_table(spark.range(1), path)
+    for i in range(1, 6):
+        tables.append_rows(spark.range(i, i + 1), path)
+        assert rows(tables.read_table(spark, path)) == [(j,) for j in range(i + 1)]
+    assert len(tables.current(spark, path).parts) == 3
+    tables.replace_table(spark.range(0).withColumn("m", F.lit(1)), path, "m")
+    assert tables.read_table(spark, path).count() == 0 and tables.exists(spark, path)
+    with pytest.raises(ValueError, match="can't have a column"):
+        tables.replace_table(spark.range(1).withColumnRenamed("id", "table_write"), path)
 
 
 def test_unknown_files_are_not_taken_for_no_table(spark, tmp_path):

@@ -1,22 +1,34 @@
-"""Parquet tables of the warehouse: replace, and merge by partition.
-
-A table is a folder of version folders, ``v00000001`` and on. Its current state
-is the highest version that Spark committed (it holds ``_SUCCESS``). A replace
-writes the next version and only then removes the one before it, so that a write
-cut short leaves the table as it was. A merge overwrites the partitions it
-touched inside the current version, at commit time.
+"""Parquet tables of the warehouse: replace, append, and merge by partition.
+
+A table folder holds ``data``, where every write has a folder of its own, and version
+folders, ``v00000001`` and on. A version is a small Parquet table, the manifest,
+that names the folders of every partition. The current version is the highest that
+Spark committed (it holds ``_SUCCESS``), so a write of any number of partitions
+takes effect in that one step: cut short before, it leaves the table as it was.
+Files that the last ``KEPT`` versions name stay, so that readers of the version
+before a write can finish. A table has one writer at a time.
 """
 
+import json
 import threading
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillwright.operators.merge import upsert
 from tillwright.sources.shared import shared_folder
 
 
+KEPT = 2
+#: Writes of an unpartitioned table beyond which an append rewrites it as one.
+MOST_APPENDS = 32
+_WRITE = "table_write"
+_MANIFEST = "part string, write int, table_schema string"
+
+
 class _Staged(threading.local):
     """Folders staged by one thread: others may still be reading theirs."""
 
@@ -42,16 +54,20 @@ def _delete(spark: SparkSession, path: str) -> None:
     file_system.delete(jvm_path, True)
 
 
+def _names(spark: SparkSession, path: str) -> list[str]:
+    jvm_path, file_system = _files(spark, path)
+    if not file_system.exists(jvm_path):
+        return []
+    return [status.getPath().getName() for status in file_system.listStatus(jvm_path)]
+
+
 def _versions(spark: SparkSession, path: str) -> list[int]:
     """Version numbers in use, committed or not, ascending.
 
     A folder with anything else in it isn't a table written here: rather than
     take it for an absent one and replace it, fail.
     """
-    jvm_path, file_system = _files(spark, path)
-    if not file_system.exists(jvm_path):
-        return []
-    names = [status.getPath().getName() for status in file_system.listStatus(jvm_path)]
+    names = [n for n in _names(spark, path) if n != "data"]
     other = [n for n in names if not (n[:1] == "v" and n[1:].isdigit())]
     if other:
         raise ValueError(f"{path} holds {sorted(other)[:5]}, which no table write left there")
@@ -67,25 +83,52 @@ def _committed(spark: SparkSession, path: str) -> bool:
     return file_system.exists(jvm_path)
 
 
-def current_path(spark: SparkSession, path: str) -> str | None:
-    """The folder of the table's current version, None if there is no table."""
+@dataclass
+class Snapshot:
+    """A version: its number, and (partition folder, number of the write) of all its data."""
+
+    version: int
+    parts: list[tuple[str, int]]
+    schema: StructType
+
+
+def _snapshot(spark: SparkSession, path: str, version: int) -> Snapshot:
+    # One row for each partition, or each append to an unpartitioned table.
+    rows = spark.read.schema(_MANIFEST).parquet(_version_path(path, version)).collect()
+    schema = StructType.fromJson(_json(rows[0]["table_schema"]))
+    return Snapshot(version, sorted((r["part"], r["write"]) for r in rows if r["write"] is not None), schema)
+
+
+def current(spark: SparkSession, path: str) -> Snapshot | None:
+    """The table's current version, None if there is no table."""
     for version in reversed(_versions(spark, path)):
-        folder = _version_path(path, version)
-        if _committed(spark, folder):
-            return folder
+        if _committed(spark, _version_path(path, version)):
+            return _snapshot(spark, path, version)
     return None
 
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` holds a completely written table."""
-    return current_path(spark, path) is not None
+    return any(_committed(spark, _version_path(path, v)) for v in _versions(spark, path))
+
+
+def _folder(path: str, part: str, write: int) -> str:
+    return f"{path}/data/{_WRITE}={write}" + (f"/{part}" if part else "")
+
+
+def _frame(spark: SparkSession, path: str, snapshot: Snapshot) -> DataFrame:
+    if not snapshot.parts:
+        return spark.createDataFrame([], snapshot.schema)
+    folders = [_folder(path, part, write) for part, write in snapshot.parts]
+    rows = spark.read.option("basePath", f"{path}/data").schema(snapshot.schema).parquet(*folders)
+    return rows.select(*snapshot.schema.names)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    folder = current_path(spark, path)
-    if folder is None:
+    snapshot = current(spark, path)
+    if snapshot is None:
         raise ValueError(f"no table at {path}")
-    return spark.read.parquet(folder)
+    return _frame(spark, path, snapshot)
 
 
 def staged(df: DataFrame) -> DataFrame:
@@ -107,48 +150,114 @@ def drop_staged(spark: SparkSession, keep: int = 0) -> None:
         _delete(spark, _STAGED.paths.pop())
 
 
+def discard(df: DataFrame) -> None:
+    """Delete one table this thread staged, once nothing reads it any more."""
+    for name in df.inputFiles()[:1]:
+        for path in [p for p in _STAGED.paths if p.rsplit("/", 1)[-1] in name]:
+            _STAGED.paths.remove(path)
+            _delete(df.sparkSession, path)
+
+
 def staged_count() -> int:
     return len(_STAGED.paths)
 
 
-def replace_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Recompute-and-replace sink: the next version, then the old ones go.
-    ``df`` may read the table itself."""
-    spark = df.sparkSession
-    before = _versions(spark, path)
-    folder = _version_path(path, before[-1] + 1 if before else 1)
-    if partition_by is None:
-        df.write.mode("error").parquet(folder)
-    else:
+def _partitions(spark: SparkSession, folder: str, depth: int) -> list[str]:
+    """The partition folders below ``folder``, as paths from there."""
+    if depth == 0:
+        return [""]
+    found = []
+    for name in _names(spark, folder):
+        if "=" in name:
+            found += [f"{name}/{rest}".rstrip("/") for rest in _partitions(spark, f"{folder}/{name}", depth - 1)]
+    return found
+
+
+def _columns(partition_by) -> list[str]:
+    return [partition_by] if isinstance(partition_by, str) else list(partition_by or ())
+
+
+def _write(df: DataFrame, path: str, partition_by) -> tuple[int, list[str]]:
+    """Write ``df`` beside the table's data; returns the write's number and its partitions."""
+    spark, columns = df.sparkSession, _columns(partition_by)
+    if _WRITE in df.columns:
+        raise ValueError(f"a table can't have a column {_WRITE}")
+    used = [int(n.split("=")[1]) for n in _names(spark, f"{path}/data") if n.startswith(f"{_WRITE}=")]
+    number = max([0, *_versions(spark, path), *used]) + 1
+    folder = _folder(path, "", number)
+    if columns:
         # Rebalancing splits a large partition over several tasks and joins small ones.
-        df.hint("rebalance", F.col(partition_by)).write.mode("error").partitionBy(
-            partition_by
-        ).parquet(folder)
+        df.hint("rebalance", *map(F.col, columns)).write.mode("error").partitionBy(*columns).parquet(folder)
+    else:
+        df.write.mode("error").parquet(folder)
     if not _committed(spark, folder):
         raise ValueError("Spark left no _SUCCESS: marksuccessfuljobs must not be switched off")
-    for version in before:
-        _delete(spark, _version_path(path, version))
+    return number, _partitions(spark, folder, len(columns))
+
+
+def _commit(spark: SparkSession, path: str, number: int, parts: list[tuple[str, int]], schema: StructType) -> None:
+    """Make ``parts`` the table's version ``number``, then delete what no kept version names."""
+    rows = [(part, write, schema.json()) for part, write in sorted(parts)] or [("", None, schema.json())]
+    manifest = spark.createDataFrame(rows, _MANIFEST).coalesce(1)
+    manifest.write.mode("error").parquet(_version_path(path, number))
+    _clean(spark, path, number)
+
+
+def _clean(spark: SparkSession, path: str, number: int) -> None:
+    versions = [v for v in _versions(spark, path) if v <= number]
+    committed = [v for v in versions if _committed(spark, _version_path(path, v))]
+    kept = committed[-KEPT:]
+    named = {p for v in kept for p in _snapshot(spark, path, v).parts}
+    dropped = {p for v in committed[:-KEPT] for p in _snapshot(spark, path, v).parts} - named
+    for version in versions:
+        if version not in kept:
+            _delete(spark, _version_path(path, version))
+    whole = {write for _, write in named}
+    for name in _names(spark, f"{path}/data"):
+        write = int(name.split("=")[1])
+        if write <= number and write not in whole:  # replaced as a whole, or left by a write cut short
+            _delete(spark, f"{path}/data/{name}")
+    for part, write in dropped:
+        if part and write in whole:
+            _delete(spark, _folder(path, part, write))
+
+
+def _plain(df: DataFrame) -> StructType:
+    """The schema as it comes back from files: columns may hold nulls."""
+    return StructType.fromJson(_json(df.schema.json().replace('"nullable":false', '"nullable":true')))
+
+
+def _json(text: str) -> dict:
+    return json.loads(text)
+
+
+def replace_table(df: DataFrame, path: str, partition_by=None) -> None:
+    """Recompute-and-replace sink. ``df`` may read the table itself."""
+    number, parts = _write(df, path, partition_by)
+    _commit(df.sparkSession, path, number, [(p, number) for p in parts], _plain(df))
 
 
 def append_rows(df: DataFrame, path: str) -> None:
-    """Append to the current version of an existing table."""
-    df.write.mode("append").parquet(current_path(df.sparkSession, path))
+    """Append to an existing unpartitioned table."""
+    spark, before = df.sparkSession, current(df.sparkSession, path)
+    df = df.select(*before.schema.names)
+    if len(before.parts) >= MOST_APPENDS:
+        replace_table(_frame(spark, path, before).unionByName(df), path)
+        return
+    number, parts = _write(df, path, None)
+    _commit(spark, path, number, before.parts + [(p, number) for p in parts], before.schema)
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: str) -> None:
-    """Replace only the partitions present in ``df``, at commit time: a failed
-    write leaves the table as it was. ``df`` must not read ``path``: stage it first."""
-    folder = current_path(df.sparkSession, path)
-    if folder is None:
+def replace_partitions(df: DataFrame, path: str, partition_by) -> None:
+    """Replace only the partitions present in ``df``, all in one step. ``df`` may read
+    the table itself."""
+    spark, before = df.sparkSession, current(df.sparkSession, path)
+    if before is None:
         replace_table(df, path, partition_by)
         return
-    (
-        df.hint("rebalance", F.col(partition_by))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_by)
-        .parquet(folder)
-    )
+    number, parts = _write(df, path, partition_by)
+    kept = [(part, write) for part, write in before.parts if part not in set(parts)]
+    _commit(spark, path, number, kept + [(p, number) for p in parts], before.schema)
 
 
 def merge_table(
@@ -158,21 +267,21 @@ def merge_table(
     keys,
     update_cols,
     touch_cols=(),
-    partition_by: str | None = None,
+    partition_by=None,
     newer_by=(),
 ) -> None:
     """Upsert ``batch`` into the table at ``path``, creating it if missing.
 
     With ``partition_by``, a column computed from the key, only the partitions
-    that the batch touches are read and rewritten. The merged rows are staged
-    before anything is replaced; a run cut short can simply be repeated, since
-    applying a batch twice equals applying it once. ``newer_by``: see upsert.
+    that the batch touches are read and rewritten. A run cut short can simply be
+    repeated, since applying a batch twice equals applying it once. ``newer_by``:
+    see upsert.
     """
-    folder = current_path(spark, path)
-    if folder is None:
+    before = current(spark, path)
+    if before is None:
         replace_table(batch, path, partition_by)
         return
-    target = spark.read.schema(batch.schema).parquet(folder).select(*batch.columns)
+    target = _frame(spark, path, before).select(*batch.columns)
     if partition_by is None:
         replace_table(upsert(target, batch, keys, update_cols, touch_cols, newer_by), path)
         return
@@ -182,5 +291,5 @@ def merge_table(
     if not touched:
         return
     affected = target.filter(F.col(partition_by).isin(touched))
-    merged = staged(upsert(affected, batch, keys, update_cols, touch_cols, newer_by))
+    merged = upsert(affected, batch, keys, update_cols, touch_cols, newer_by)
     replace_partitions(merged, path, partition_by)
