@@ -13,8 +13,8 @@ from tillwright.sources.shared import shared_folder
 
 _FOLDERS = {}
 
-#: Rows of documents that a Python worker gets at once.
-BATCH_ROWS = 512
+#: Rows of documents, and bytes of them, that a Python worker gets at once.
+BATCH_ROWS, BATCH_BYTES = 512, 4 << 20
 
 
 def run_folder(spark: SparkSession) -> str:
@@ -70,11 +70,12 @@ def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Batches of few rows for Python workers, for this session from now on: texts are
-    long, and a worker's memory follows the batch."""
+    """Small batches for Python workers, for this session from now on: texts are long,
+    and a worker's memory follows the batch. A longer text is a batch of its own."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
         spark.conf.set(key, BATCH_ROWS)
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def id_and_text(docs: DataFrame) -> DataFrame:

@@ -21,14 +21,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillwright.llm.shared import blocks_for, id_and_text
-from tillwright.llm.words import ChunkIds, Words
+from tillwright.llm.shared import blocks_for, id_and_text, release_memory
+from tillwright.llm.words import ChunkIds, Words, by_bytes
 
 #: Bytes of text that one file covers on average.
 FILE_BYTES = 16 << 20
 #: Bytes of a row group and of a page before compression.
 ROW_GROUP_BYTES = 8 << 20
 PAGE_BYTES = 256 << 10
+#: Characters of texts encoded at once, and bytes of ids after which freed memory is given back.
+SLICE_CHARS, RELEASE_BYTES = 1 << 20, 16 << 20
+#: Files whose lengths are added up as one group.
+GROUP_FILES = 4096
 
 _ROWS = "doc_id long, part int, row long, first long, n_tokens int, ids array<int>"
 
@@ -37,9 +41,13 @@ def _encode(path: str, end_id: int):
     def run(batches):
         words = Words(path)
         ids_of, end = ChunkIds(words), np.array([end_id], "<u4").tobytes()
-        part, row, first = TaskContext.get().partitionId(), 0, 0
-        for batch in batches:
-            encoded = [ids + end for ids in ids_of.ids(batch.column("text").to_pylist())]
+        part, row, first, done = TaskContext.get().partitionId(), 0, 0, 0
+        for batch, texts in _slices(batches):
+            encoded = [ids + end for ids in ids_of.ids(texts)]
+            done += sum(map(len, encoded))
+            if done > RELEASE_BYTES:
+                release_memory()
+                done = 0
             counts = np.array([len(e) // 4 for e in encoded], np.int64)
             ends = np.cumsum(counts)
             values = pa.Array.from_buffers(
@@ -61,6 +69,16 @@ def _encode(path: str, end_id: int):
     return run
 
 
+def _slices(batches):
+    """(rows, texts) of about ``SLICE_CHARS``: ids take more memory than text."""
+    for batch in batches:
+        at = 0
+        for texts in by_bytes(batch.column("text").to_pylist(), SLICE_CHARS):
+            yield batch.slice(at, len(texts)), texts
+            at += len(texts)
+    release_memory()
+
+
 def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int, file_bytes: int = FILE_BYTES) -> None:
     """Encode ``docs`` (doc_id, text) and write them to ``folder`` in the format above.
 
@@ -88,13 +106,23 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int, file
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start (tokens of all documents before it), n_tokens, ids.
 
-    The lengths of the parts, one row for each file, are added up first; a token's
-    place in the whole corpus is then a sum of two numbers, without a sort.
+    The lengths of the files are added up first, in groups of ``GROUP_FILES``: each
+    group's sum, the groups before it, and the files before a file in its group. A
+    token's place in the whole corpus is then a sum of three numbers.
     """
     rows = spark.read.schema(_ROWS).parquet(folder)
     lengths = rows.groupBy("part").agg(F.sum(F.col("n_tokens").cast("long")).alias("length"))
-    before = F.sum("length").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    parts = lengths.select("part", F.coalesce(before, F.lit(0)).alias("before"))
+    lengths = lengths.withColumn("group", F.floor(F.col("part") / GROUP_FILES))
+    groups = lengths.groupBy("group").agg(F.sum("length").alias("length"))
+    # One row for each GROUP_FILES files: 64 GB of text.
+    earlier = Window.orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    groups = groups.select("group", F.coalesce(F.sum("length").over(earlier), F.lit(0)).alias("groups_before"))
+    inside = Window.partitionBy("group").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (
+        lengths.withColumn("files_before", F.coalesce(F.sum("length").over(inside), F.lit(0)))
+        .join(groups, "group")
+        .select("part", (F.col("files_before") + F.col("groups_before")).alias("before"))
+    )
     return rows.join(parts, "part").select(
         "doc_id",
         (F.col("before") + F.col("first")).alias("start"),

@@ -17,13 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.llm.shared import blocks_for, id_and_text, release_memory
-from tillwright.llm.words import Words
+from tillwright.llm.words import Words, by_bytes
 
 #: Bytes of text in a block on average.
 BLOCK_BYTES = 8 << 20
 #: What a task gathers before it sends: distinct chunks of texts, bytes of texts, and
 #: words with their blocks (and those of one more batch).
-HELD_CHUNKS, HELD_BYTES, HELD_WORDS = 300_000, 16 << 20, 400_000
+HELD_CHUNKS, HELD_BYTES, HELD_WORDS = 300_000, 8 << 20, 200_000
 #: Blocks in which a word is encoded once.
 SPAN = 1024
 #: Between the pieces of a decoded text; the vocabulary file names no decoder.
@@ -116,38 +116,53 @@ def _packed(rows: pa.Table):
         )
 
 
-def _unpacked(packs: pa.Table):
-    for packed in packs.column("packed").to_pylist():
-        yield pa.ipc.open_stream(zstandard.decompress(packed)).read_all()
+def _rows(packed: bytes) -> pa.Table:
+    return pa.ipc.open_stream(zstandard.decompress(packed)).read_all()
 
 
 def _lay_out(path: str):
-    def run(packs: pa.Table, tables: pa.Table) -> pa.Table:
+    """Ids by position, from rows in order of block: first a block's words, then its texts,
+    pack by pack."""
+
+    def run(batches):
         words = Words(path)
         piece = dict(words.pieces())
-        ids: dict[str, bytes] = {}
-        for rows in _unpacked(tables):
-            ids.update(zip(rows.column("word").to_pylist(), rows.column("ids").to_pylist()))
-        by_chunk: dict[str, bytes] = {}
-        doc_ids, encoded, decoded = [], [], []
-        for rows in _unpacked(packs):
-            doc_ids += rows.column("doc_id").to_pylist()
-            for text in rows.column("text").to_pylist():
-                chunks = words.chunks(text)
-                for chunk in chunks:
-                    if chunk not in by_chunk:
-                        by_chunk[chunk] = b"".join(map(ids.__getitem__, words.words(chunk)))
-                encoded.append(b"".join(map(by_chunk.__getitem__, chunks)))
-                decoded.append(JOINED_BY.join(map(piece.__getitem__, np.frombuffer(encoded[-1], "<u4").tolist())))
+        at, ids, by_chunk, done = None, {}, {}, 0
+        for batch in batches:
+            for row in range(len(batch)):
+                block, has_texts = batch.column("block")[row].as_py(), batch.column("has_texts")[row].as_py()
+                if block != at:
+                    at, ids, by_chunk = block, {}, {}
+                rows = _rows(batch.column("packed")[row].as_py())
+                if not has_texts:
+                    ids.update(zip(rows.column("word").to_pylist(), rows.column("ids").to_pylist()))
+                    continue
+                first = 0
+                for texts in by_bytes(rows.column("text").to_pylist()):
+                    encoded, decoded = [], []
+                    for text in texts:
+                        chunks = words.chunks(text)
+                        for chunk in chunks:
+                            if chunk not in by_chunk:
+                                by_chunk[chunk] = b"".join(map(ids.__getitem__, words.words(chunk)))
+                        encoded.append(b"".join(map(by_chunk.__getitem__, chunks)))
+                        decoded.append(JOINED_BY.join(map(piece.__getitem__, np.frombuffer(encoded[-1], "<u4").tolist())))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            rows.column("doc_id").slice(first, len(texts)).combine_chunks(),
+                            pa.array([len(e) // 4 for e in encoded], pa.int64()),
+                            pa.array(encoded, pa.binary()),
+                            pa.array(decoded, pa.string()),
+                        ],
+                        names=["doc_id", "n_tokens", "ids", "decoded"],
+                    )
+                    first += len(texts)
+                    done += sum(map(len, texts))
+                del rows
+                if done > HELD_BYTES:
+                    release_memory()
+                    done = 0
         release_memory()
-        return pa.table(
-            {
-                "doc_id": pa.array(doc_ids, pa.int64()),
-                "n_tokens": pa.array([len(e) // 4 for e in encoded], pa.int64()),
-                "ids": pa.array(encoded, pa.binary()),
-                "decoded": pa.array(decoded, pa.string()),
-            }
-        )
 
     return run
 
@@ -174,8 +189,7 @@ def encode_decode(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES) ->
         .mapInArrow(_encode(path), "block int, packed binary")
     )
     packs = dealt.mapInArrow(_pack, "block int, packed binary")
-    return (
-        packs.groupBy("block")
-        .cogroup(tables.groupBy("block"))
-        .applyInArrow(_lay_out(path), "doc_id long, n_tokens long, ids binary, decoded string")
-    )
+    both = tables.withColumn("has_texts", F.lit(False)).unionByName(packs.withColumn("has_texts", F.lit(True)))
+    # A block's rows meet in one task, sorted but not held: what it holds are the block's words and one pack.
+    met = both.repartition(F.col("block")).sortWithinPartitions("block", "has_texts")
+    return met.mapInArrow(_lay_out(path), "doc_id long, n_tokens long, ids binary, decoded string")

@@ -93,25 +93,41 @@ class ChunkIds(dict):
     """Chunks to their ids as little-endian 32-bit integers.
 
     ``learn`` encodes what new texts bring in one go. The memory of a task is
-    bounded: beyond ``limit`` chunks it starts anew.
+    bounded: beyond ``limit`` bytes of chunks and ids it starts anew.
     """
 
-    def __init__(self, words: Words, limit: int = 500_000):
+    def __init__(self, words: Words, limit: int = 12 << 20):
         super().__init__()
-        self._words, self._limit = words, limit
+        self._words, self._limit, self._held = words, limit, 0
 
     def learn(self, chunked: list[list[str]]) -> None:
-        if len(self) > self._limit:
+        if self._held > self._limit:
             self.clear()
+            self._held = 0
         new = {c: self._words.words(c) for c in set().union(*chunked) if c not in self}
         words = list(set().union(*new.values()))
         ids = {w: np.array(i, "<u4").tobytes() for w, i in zip(words, self._words.encode_all(words))}
-        self.update({c: b"".join(map(ids.__getitem__, ws)) for c, ws in new.items()})
+        found = {c: b"".join(map(ids.__getitem__, ws)) for c, ws in new.items()}
+        self._held += sum(len(c) + len(i) for c, i in found.items())
+        self.update(found)
 
     def ids(self, texts: list[str]) -> list[bytes]:
         out = []
-        for start in range(0, len(texts), 256):
-            chunked = [self._words.chunks(t) for t in texts[start : start + 256]]
+        for some in by_bytes(texts):
+            chunked = [self._words.chunks(t) for t in some]
             self.learn(chunked)
             out += [b"".join(map(self.__getitem__, chunks)) for chunks in chunked]
         return out
+
+
+def by_bytes(texts: list[str], most: int = 1 << 20):
+    """The texts in runs of about ``most`` characters, a longer one by itself."""
+    some, size = [], 0
+    for text in texts:
+        if some and size + len(text) > most:
+            yield some
+            some, size = [], 0
+        some.append(text)
+        size += len(text)
+    if some:
+        yield some
