@@ -30,7 +30,7 @@ FILE_BYTES = 16 << 20
 ROW_GROUP_BYTES = 8 << 20
 PAGE_BYTES = 256 << 10
 #: Characters of texts encoded at once, and bytes of ids after which freed memory is given back.
-SLICE_CHARS, RELEASE_BYTES = 1 << 20, 16 << 20
+SLICE_CHARS, RELEASE_BYTES = 512 << 10, 16 << 20
 #: Files whose lengths are added up as one group.
 GROUP_FILES = 4096
 
@@ -65,6 +65,9 @@ def _encode(path: str, end_id: int):
                 names=["doc_id", "part", "row", "first", "n_tokens", "ids"],
             )
             row, first = row + len(counts), first + int(counts.sum())
+        ids_of.forget()
+        del words
+        release_memory()
 
     return run
 
@@ -76,7 +79,6 @@ def _slices(batches):
         for texts in by_bytes(batch.column("text").to_pylist(), SLICE_CHARS):
             yield batch.slice(at, len(texts)), texts
             at += len(texts)
-    release_memory()
 
 
 def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int, file_bytes: int = FILE_BYTES) -> None:

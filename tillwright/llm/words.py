@@ -96,14 +96,17 @@ class ChunkIds(dict):
     bounded: beyond ``limit`` bytes of chunks and ids it starts anew.
     """
 
-    def __init__(self, words: Words, limit: int = 12 << 20):
+    def __init__(self, words: Words, limit: int = 3 << 20):
         super().__init__()
         self._words, self._limit, self._held = words, limit, 0
 
+    def forget(self) -> None:
+        self.clear()
+        self._held = 0
+
     def learn(self, chunked: list[list[str]]) -> None:
         if self._held > self._limit:
-            self.clear()
-            self._held = 0
+            self.forget()
         new = {c: self._words.words(c) for c in set().union(*chunked) if c not in self}
         words = list(set().union(*new.values()))
         ids = {w: np.array(i, "<u4").tobytes() for w, i in zip(words, self._words.encode_all(words))}
