@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 from tillwright.llm.shared import blocks_for, id_and_text, release_memory
 from tillwright.llm.words import Words, by_bytes
 
-#: Bytes of text in a block on average.
-BLOCK_BYTES = 8 << 20
+#: Bytes of text in a block on average: a word goes once to each block it occurs in.
+BLOCK_BYTES = 32 << 20
+#: Chunks whose ids a task keeps ready beside those of the block's words.
+KEPT_CHUNKS = 100_000
 #: What a task gathers before it sends: distinct chunks of texts, bytes of texts, and
 #: words with their blocks (and those of one more batch).
 HELD_CHUNKS, HELD_BYTES, HELD_WORDS = 300_000, 8 << 20, 200_000
@@ -142,6 +144,8 @@ def _lay_out(path: str):
                     encoded, decoded = [], []
                     for text in texts:
                         chunks = words.chunks(text)
+                        if len(by_chunk) > KEPT_CHUNKS:
+                            by_chunk = {}
                         for chunk in chunks:
                             if chunk not in by_chunk:
                                 by_chunk[chunk] = b"".join(map(ids.__getitem__, words.words(chunk)))
