@@ -21,11 +21,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillwright.llm.shared import blocks_for, id_and_text, release_memory
+from tillwright.llm.shared import blocks_for, id_and_text, release_memory, staged
 from tillwright.llm.words import ChunkIds, Words, by_bytes
 
 #: Bytes of text that one file covers on average.
-FILE_BYTES = 16 << 20
+FILE_BYTES = 64 << 20
 #: Bytes of a row group and of a page before compression.
 ROW_GROUP_BYTES = 8 << 20
 PAGE_BYTES = 256 << 10
@@ -116,7 +116,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     lengths = rows.groupBy("part").agg(F.sum(F.col("n_tokens").cast("long")).alias("length"))
     lengths = lengths.withColumn("group", F.floor(F.col("part") / GROUP_FILES))
     groups = lengths.groupBy("group").agg(F.sum("length").alias("length"))
-    # One row for each GROUP_FILES files: 64 GB of text.
+    # One row for each GROUP_FILES files: 256 GB of text.
     earlier = Window.orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
     groups = groups.select("group", F.coalesce(F.sum("length").over(earlier), F.lit(0)).alias("groups_before"))
     inside = Window.partitionBy("group").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -125,6 +125,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
         .join(groups, "group")
         .select("part", (F.col("files_before") + F.col("groups_before")).alias("before"))
     )
+    parts = staged(parts, "parts")  # its size is known then, and ids aren't shuffled to meet it while it is small
     return rows.join(parts, "part").select(
         "doc_id",
         (F.col("before") + F.col("first")).alias("start"),

@@ -72,7 +72,7 @@ def _encode(path: str):
         held, rows = [], 0
         for batch in batches:
             word, blocks = batch.column("word"), batch.column("blocks")
-            ids = pa.array([np.array(i, "<u4").tobytes() for i in words.encode_all(word.to_pylist())], pa.binary())
+            ids = pa.array(words.encode_bytes(word.to_pylist()), pa.binary())
             at = pc.list_parent_indices(blocks)
             held.append(pa.table({"block": pc.list_flatten(blocks), "word": word.take(at), "ids": ids.take(at)}))
             rows += len(at)

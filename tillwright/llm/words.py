@@ -3,6 +3,7 @@
 import json
 import os
 import re
+from itertools import accumulate, chain
 
 import numpy as np
 import regex
@@ -81,8 +82,17 @@ class Words:
         mapped = [w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(self._mapped) for w in words]
         if self._model is None:
             self._model = Tokenizer(Tokenizer.from_file(self._path).model)
-        encoded = self._model.encode_batch_fast(mapped, add_special_tokens=False)
-        return [[self.specials[w]] if w in self.specials else e.ids for w, e in zip(words, encoded)]
+        found = [e.ids for e in self._model.encode_batch_fast(mapped, add_special_tokens=False)]
+        if not self.specials.keys().isdisjoint(words):
+            found = [[self.specials[w]] if w in self.specials else ids for w, ids in zip(words, found)]
+        return found
+
+    def encode_bytes(self, words: list[str]) -> list[bytes]:
+        """The ids of each word as little-endian 32-bit integers, one after the other."""
+        found = self.encode_all(words)
+        ends = list(accumulate(map(len, found)))
+        joined = np.fromiter(chain.from_iterable(found), "<u4", ends[-1] if ends else 0).tobytes()
+        return [joined[4 * a : 4 * b] for a, b in zip([0, *ends], ends)]
 
     def pieces(self) -> list[tuple[int, str]]:
         """The vocabulary: every id and the piece it stands for."""
@@ -96,7 +106,7 @@ class ChunkIds(dict):
     bounded: beyond ``limit`` bytes of chunks and ids it starts anew.
     """
 
-    def __init__(self, words: Words, limit: int = 3 << 20):
+    def __init__(self, words: Words, limit: int = 16 << 20):
         super().__init__()
         self._words, self._limit, self._held = words, limit, 0
 
@@ -107,11 +117,14 @@ class ChunkIds(dict):
     def learn(self, chunked: list[list[str]]) -> None:
         if self._held > self._limit:
             self.forget()
-        new = {c: self._words.words(c) for c in set().union(*chunked) if c not in self}
-        words = list(set().union(*new.values()))
-        ids = {w: np.array(i, "<u4").tobytes() for w, i in zip(words, self._words.encode_all(words))}
-        found = {c: b"".join(map(ids.__getitem__, ws)) for c, ws in new.items()}
-        self._held += sum(len(c) + len(i) for c, i in found.items())
+        new = set().union(*chunked) - self.keys()
+        made = {c: self._words.words(c) for c in new if not (c.isascii() and c.isalpha())}  # others are words
+        words = list(new.difference(made).union(*made.values()))
+        ids = dict(zip(words, self._words.encode_bytes(words)))
+        for chunk, of in made.items():
+            ids[chunk] = b"".join(map(ids.__getitem__, of)) if len(of) != 1 else ids[of[0]]
+        found = {c: ids[c] for c in new}
+        self._held += sum(map(len, found)) + sum(map(len, found.values()))
         self.update(found)
 
     def ids(self, texts: list[str]) -> list[bytes]:
