@@ -341,3 +341,53 @@ def test_one_row_of_a_group_stays_whatever_its_ids(spark):
     kept = collections.Counter((r.doc_id, r.text or "") for r in ngram_join.one_of_each(docs).collect())
     two = kept.pop((2, "ab "), 0) + kept.pop((2, "ab"), 0)
     assert two == 1 and kept == collections.Counter([(1, long), (None, "other words"), (2, "a b"), (7, "seven"), (None, "")])
+
+
+def test_a_text_s_samples_equal_plain_weighted_sampling(spark):
+    """The definition in the module, worked out for each term and sample by itself."""
+    texts = ["a b c a d", "a b c a d e f g", "one one one two", "", "   ", "x " * 40 + "y", "z"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    n, unit = 6, float(1 << 21)
+    words = sorted({w for t in texts for w in t.split()})
+    hashed = {}
+    frame = spark.createDataFrame([(w,) for w in words], "w string").select("w", F.xxhash64("w").alias("term"))
+    terms = {r.w: r.term for r in frame.collect()} | {"": 0}
+    for name, term in terms.items():
+        row = spark.range(1).select(
+            *[F.xxhash64(F.lit(k), F.lit(term).cast("long")).alias(f"h{k}") for k in range(n)],
+            *[F.xxhash64(F.xxhash64(F.lit(k), F.lit(term).cast("long"))).alias(f"g{k}") for k in range(n)],
+        ).first()
+        hashed[name] = row
+    part = lambda h, i: (((h % (1 << 64)) >> (21 * i) & ((1 << 21) - 1)) + 0.5) / unit
+
+    def value(name, weight, k):
+        u1, u3, u4 = (part(hashed[name][f"h{k}"], i) for i in range(3))
+        u2 = part(hashed[name][f"g{k}"], 0)
+        c, r, b = -np.log(u3 * u4), -np.log(u1 * u2), -np.log(u2) / -np.log(u1 * u2)
+        t = np.floor(np.log(weight) / r + b)
+        return c * np.exp(-r) / np.exp(r * (t - b))
+
+    found = {r.doc_id: r.samples for r in fingerprints.fingerprints(docs, n).collect()}
+    for i, text in enumerate(texts):
+        bag = collections.Counter(text.split()) or {"": 1}
+        for extra in [w for w in re.split(r"\s+", text) if not w and text.split()]:
+            bag = bag | collections.Counter({"": re.split(r"\s+", text).count("")})
+        if not text.split():
+            bag = {"": len(re.split(r"\s+", text))}
+        enough = 20 / len(re.split(r"\s+", text))
+        for k in range(n):
+            least = min(value(w, c, k) for w, c in bag.items())
+            assert least > enough or found[i][k] == pytest.approx(least, rel=1e-9), (text, k)
+
+
+def test_neighbours_over_many_blocks(spark, odd):
+    """Blocks cut on two levels, null ids and repeated ones: the order of descending ids, around."""
+    more = spark.range(700).select((F.col("id") * 37 % 1009 - 200).alias("doc_id"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("text"))
+    docs = odd.select("doc_id", "text").union(more)
+    rows = [(r.doc_id, r.text or "") for r in docs.collect()]
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    want = collections.Counter((*a, b[1]) for a, b in zip(order, order[1:] + order[:1]))
+    for block_rows in (5, 100, 10_000):
+        got = fingerprints.with_neighbour(docs, block_rows).filter("NOT guest").collect()
+        assert collections.Counter((r.doc_id, r.text, r.next_text) for r in got) == want
+    assert fingerprints.with_neighbour(docs.limit(1), 5).filter("next_text IS NULL AND NOT guest").count() == 0

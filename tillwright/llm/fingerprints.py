@@ -18,30 +18,32 @@ logarithm in this, the frequent case.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwright.llm.shared import id_and_text
+from tillwright.llm.shared import blocks_for, id_and_text, staged
 
 SAMPLES = 64
-#: Rows in a block of neighbours on average, and blocks at most.
-BLOCK_ROWS, BLOCKS = 500, 4096
+#: Rows in a block of neighbours on average, and cuts at most on each of two levels.
+BLOCK_ROWS, CUTS = 500, 2048
+#: Bytes of text in a partition on average: its terms are held while they are counted.
+PARTITION_BYTES = 6 << 20
 
 _BITS = 21
 
 
+def _uniform(hashed: str, place: int) -> str:
+    mask, scale = (1 << _BITS) - 1, float(1 << _BITS)
+    return f"((shiftrightunsigned({hashed}, {place * _BITS}) & {mask}L) + 0.5D) / {scale}D"
+
+
 def _value(k: int) -> str:
-    """The value of ``term`` with ``weight`` in sample k, as SQL.
+    """The value of ``term`` with ``weight`` in sample k, as SQL over ``h<k>``, the hash of the
+    sample and the term, ``u<k>``, its first uniform, and ``v<k>``, the product of the others.
 
     A value beyond ``enough`` is the least of a text with probability e^-20 only. It
     isn't worked out: a lower bound that needs no logarithm stands for it.
     """
-    mask, scale = (1 << _BITS) - 1, float(1 << _BITS)
-    h = f"xxhash64({k}, term)"
-
-    def uniform(hashed: str, place: int) -> str:
-        return f"((shiftrightunsigned({hashed}, {place * _BITS}) & {mask}L) + 0.5D) / {scale}D"
-
-    u1, u3, u4 = (f"({uniform(h, i)})" for i in range(3))
-    u2 = f"({uniform(f'xxhash64({h})', 0)})"
-    low, bound = f"(-ln({u3} * {u4}) * {u1})", f"((1D - {u3} * {u4}) * {u1})"
+    u1, product = f"u{k}", f"v{k}"
+    u2 = f"({_uniform(f'xxhash64(h{k})', 0)})"
+    low, bound = f"(-ln({product}) * {u1})", f"((1D - {product}) * {u1})"
     r = f"(-ln({u1} * {u2}))"
     t = f"floor((ln(weight) - ln({u2})) / {r})"
     return (
@@ -63,6 +65,14 @@ def samples(rows: DataFrame, keys: list[str], text: str, n: int = SAMPLES) -> Da
         .groupBy(*keys, "enough", "term")
         .agg(F.count(F.lit(1)).cast("double").alias("weight"))
     )
+    # The numbers of a sample are worked out once: a plan that repeats them is too long to compile cheaply.
+    hashed = terms.select("*", *[F.expr(f"xxhash64({k}, term)").alias(f"h{k}") for k in range(n)])
+    uniforms = [
+        F.expr(of).alias(name)
+        for k in range(n)
+        for name, of in ((f"u{k}", _uniform(f"h{k}", 0)), (f"v{k}", f"({_uniform(f'h{k}', 1)}) * ({_uniform(f'h{k}', 2)})"))
+    ]
+    terms = hashed.select("*", *uniforms)
     least = [F.expr(f"min({_value(k)})").alias(f"s{k}") for k in range(n)]
     return terms.groupBy(*keys).agg(*least).select(*keys, F.array(*[f"s{k}" for k in range(n)]).alias("samples"))
 
@@ -86,6 +96,50 @@ def fingerprints(docs: DataFrame, n: int = SAMPLES) -> DataFrame:
     return found.select("doc_id", as_string("samples").alias("fingerprint"), "samples")
 
 
+def _cuts(rows: DataFrame, key: str, n: int):
+    """Up to ``n`` - 1 quantiles of ``key``, as an aggregate."""
+    return F.array_distinct(F.percentile_approx(key, [i / n for i in range(1, n)] or [0.5], max(10_000, 8 * n)))
+
+
+def _below(cuts: Column, key: Column) -> Column:
+    """How many of the ascending cuts are below ``key``."""
+    return F.size(F.filter(cuts, lambda c: c < key))
+
+
+def blocks_of_ids(texts: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """``texts`` with a column ``block``, blocks of about ``block_rows`` rows in the order of
+    ``key``; rows of one key share a block.
+
+    The keys are cut at quantiles, and each piece at quantiles of its own, so the
+    bounds of up to CUTS * CUTS blocks fit a table of CUTS rows.
+    """
+    wanted = max(1, -(-texts.count() // block_rows))
+    wide = min(CUTS, max(1, int(wanted**0.5)))
+    first = texts.agg(_cuts(texts, "key", wide).alias("cuts")).first().cuts if wide > 1 else []
+    bounds = F.array(*[F.lit(c).cast("long") for c in sorted(first or [])]) if first else F.array().cast("array<bigint>")
+    pieces = texts.withColumn("piece", _below(bounds, F.col("key")))
+    narrow = min(CUTS, -(-wanted // wide))
+    inside = pieces.groupBy("piece").agg((_cuts(pieces, "key", narrow) if narrow > 1 else F.array().cast("array<bigint>")).alias("cuts"))
+    inside = staged(inside, "cuts")  # CUTS rows of CUTS numbers at most: 32 MB
+    placed = pieces.join(F.broadcast(inside), "piece")
+    return placed.withColumn("block", F.col("piece").cast("long") * CUTS + _below(F.col("cuts"), F.col("key"))).drop("piece", "cuts")
+
+
+def _guests(texts: DataFrame) -> DataFrame:
+    """(block, key, visits): the greatest key of each block, which comes first in it, and the
+    block of the smaller keys next to it, for the last one the first: the block that its
+    first row visits is the one before it in descending order."""
+    firsts = texts.groupBy("block").agg(F.max("key").alias("key"))
+    firsts = staged(firsts.withColumn("piece", F.floor(F.col("block") / CUTS)), "firsts")
+    # At most CUTS rows: where each piece's blocks begin, and those of the piece after it, around.
+    pieces = firsts.groupBy("piece").agg(F.min("block").alias("start"))
+    after = F.coalesce(F.lead("start").over(Window.orderBy("piece")), F.min("start").over(Window.partitionBy()))
+    pieces = pieces.select("piece", after.alias("start_after"))
+    inside = F.lead("block").over(Window.partitionBy("piece").orderBy("block"))
+    visits = firsts.withColumn("inside", inside).join(F.broadcast(pieces), "piece")
+    return visits.select("block", "key", F.coalesce("inside", "start_after").alias("visits"))
+
+
 def with_neighbour(docs: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Rows (block, place, guest, doc_id, text, next_text) in descending order of doc_id.
 
@@ -95,24 +149,9 @@ def with_neighbour(docs: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     of equal ids are ordered by text.
     """
     texts = id_and_text(docs).withColumn("key", F.coalesce("doc_id", F.lit(-(1 << 63))))
-    count = texts.count()
-    wanted = max(1, min(BLOCKS, -(-count // block_rows)))
-    cuts = texts.agg(
-        F.percentile_approx("key", [i / wanted for i in range(1, wanted)] or [0.5], max(10_000, 8 * wanted)).alias("q")
-    ).first()[0]
-    cuts = sorted(set(cuts or [])) if wanted > 1 else []
-    if cuts:
-        bounds = F.array(*[F.lit(c).cast("long") for c in cuts])
-        block = F.size(F.filter(bounds, lambda b: b < F.col("key")))
-    else:
-        block = F.lit(0)
-    texts = texts.withColumn("block", block)
-    # At most BLOCKS rows of two numbers.
-    firsts = sorted(texts.groupBy("block").agg(F.max("key").alias("key")).collect(), key=lambda r: r.block)
-    schema = "block int, key long, visits int"
-    visits = [(r.block, r.key, firsts[(i + 1) % len(firsts)].block) for i, r in enumerate(firsts)]
-    guests = docs.sparkSession.createDataFrame(visits, schema)
-    seats = texts.join(F.broadcast(guests), ["block", "key"], "left").select(
+    partitions = blocks_for(texts, PARTITION_BYTES)
+    texts = blocks_of_ids(texts, block_rows)
+    seats = texts.join(_guests(texts), ["block", "key"], "left").select(
         "doc_id", "text", "key",
         F.explode(
             F.when(F.col("visits").isNull(), F.array(F.struct(F.col("block"), F.lit(False).alias("guest"))))
@@ -125,7 +164,8 @@ def with_neighbour(docs: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
         ).alias("seat"),
     )
     order = Window.partitionBy("block").orderBy("guest", F.desc("key"), "text")
-    return seats.select("seat.block", "seat.guest", "key", "doc_id", "text").select(
+    dealt = seats.select("seat.block", "seat.guest", "key", "doc_id", "text").repartition(partitions, "block")
+    return dealt.select(
         "block",
         F.row_number().over(order).alias("place"),
         "guest",
