@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -391,3 +392,34 @@ def test_neighbours_over_many_blocks(spark, odd):
         got = fingerprints.with_neighbour(docs, block_rows).filter("NOT guest").collect()
         assert collections.Counter((r.doc_id, r.text, r.next_text) for r in got) == want
     assert fingerprints.with_neighbour(docs.limit(1), 5).filter("next_text IS NULL AND NOT guest").count() == 0
+
+
+def test_decisions_leave_the_caller_s_columns_alone(spark):
+    """Columns named like the helpers' own come back as they were."""
+    names = "doc_id long, text string, _row int, _row2 int, _row_ int, row int, row2 int, stays int, class int, n int, _more int, _toxicity int"
+    rows = [(i, t, *range(10 * i, 10 * i + 10)) for i, t in enumerate(["a b", "a  b", "c", "c", None, "", "d " * 50, "d " * 50 + "e"])]
+    rows += [rows[2], (2, "c", *range(900, 910)), (None, "c", *range(800, 810))]
+    docs = spark.createDataFrame(rows, names)
+    for kept, ids in ((exact_dedup.keep_one(docs), {1, 2, 4, 6, 7}), (ngram_join.one_of_each(docs), {0, 2, 4, 6})):
+        assert kept.columns == docs.columns
+        found = [tuple(r) for r in kept.collect()]
+        assert {r[0] for r in found} == ids and len(found) == len(ids) and set(found) <= set(rows)
+    labels = spark.createDataFrame([(1, 0)], "doc_id long, toxic int")
+    assert collections.Counter(map(tuple, toxicity.without_toxic(docs, labels).collect())) == collections.Counter(rows)
+
+
+def test_licences_inside_longer_files_win_over_mentions(spark):
+    """Full texts behind other words, without title and tail, wrapped anew."""
+    code, texts, want = "\n".join(f"value{i} = function{i}(argument{i}, {i})" for i in range(300)), [], []
+    for name, text in licenses.TEXTS:
+        lines = text.splitlines()
+        inner = lines[8 : int(len(lines) * 0.85)]
+        if len(" ".join(inner).split()) < licenses.PART_WORDS:
+            inner = lines
+        paragraphs = re.split(r"\n\s*\n", "\n".join(inner))
+        wrapped = "\n\n".join("\n".join(textwrap.wrap(" ".join(p.split()), 61)) for p in paragraphs)
+        for body in ("\n".join(inner), wrapped):
+            texts.append(f"{code}\nSee also the MIT License\n{body}\n{code}")
+            want.append(name)
+    found = scanned(spark, texts)
+    assert [found[i].license for i in range(len(texts))] == want

@@ -28,7 +28,7 @@ RUN_LENGTH = 1 << 14
 #: Parts in which the rows of one fingerprint reach the verification.
 SALTS = 16
 
-_DIGEST = "doc_id long, row long, n_points long, fingerprint long, text_sha256 string"
+_DIGEST = "doc_id long, row long, row2 long, n_points long, fingerprint long, text_sha256 string"
 _RUN = "quotient long, remainders array<long>, counts array<long>"
 
 
@@ -49,8 +49,13 @@ def _digests(batches):
             shas.append(hashlib.sha256(text).hexdigest())
         lengths = pc.utf8_length(batch.column("text")).cast(pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("row"), lengths, pa.array(prints, pa.int64()), pa.array(shas, pa.string())],
-            names=["doc_id", "row", "n_points", "fingerprint", "text_sha256"],
+            [
+                *(batch.column(name) for name in ("doc_id", "row", "row2")),
+                lengths,
+                pa.array(prints, pa.int64()),
+                pa.array(shas, pa.string()),
+            ],
+            names=["doc_id", "row", "row2", "n_points", "fingerprint", "text_sha256"],
         )
 
 
@@ -147,14 +152,14 @@ def exact_duplicates(docs: DataFrame, run_length: int = RUN_LENGTH) -> DataFrame
     (``keep_one`` leaves a single one). An empty table gives no rows, and columns
     other than the two aren't read.
     """
-    return _judged(docs, run_length).drop("stays", "row")
+    return _judged(docs, run_length).drop("stays", "row", "row2")
 
 
 def _judged(docs: DataFrame, run_length: int = RUN_LENGTH) -> DataFrame:
     """``exact_duplicates`` with each row's key, and whether it is the one that stays:
     of rows alike in id and length, those of the smallest key do."""
     texts = id_and_text(docs)
-    texts = texts.withColumn("row", row_key(texts))
+    texts = texts.withColumns({"row": row_key(texts), "row2": row_key(texts, F.lit(1))})
     digests = staged(texts.mapInArrow(_digests, _DIGEST), "digests")
     filters = quotient_filter(digests, digests.count(), run_length)
     again = staged(repeated(filters), "repeated")
@@ -189,23 +194,51 @@ def _judged(docs: DataFrame, run_length: int = RUN_LENGTH) -> DataFrame:
         ),
         "text_sha256",
         "row",
+        "row2",
         (~grouped | (F.col("row") == F.col("keep_row"))).alias("stays"),
     )
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns, each once."""
-    return keep_rows(docs, _judged(docs).filter("stays").select("row"))
+    return keep_rows(docs, _judged(docs).select("row", "row2", "stays"))
 
 
 def row_key(docs: DataFrame, *more):
-    """A hash of a row's id and text, by which decisions about rows are carried back."""
+    """A hash of a row's id and text, by which decisions about rows are carried back. Two of
+    them, the second with a literal, tell apart rows that one might not."""
     return F.xxhash64(docs["doc_id"].cast("long"), F.coalesce(docs["text"], F.lit("")), *more)
 
 
-def keep_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The rows whose key (``row_key``) is in ``rows`` (row), one for each id and text."""
-    rows = rows.select(F.col("row").alias("_row")).distinct()
-    # Two hashes tell apart the ids and texts that one might not.
-    keyed = docs.withColumns({"_row": row_key(docs), "_more": row_key(docs, F.lit(1))})
-    return keyed.join(rows, "_row", "left_semi").dropDuplicates(["_row", "_more"]).select(*docs.columns)
+def unused(docs: DataFrame, *names: str) -> list[str]:
+    """``names``, made longer where ``docs`` has them already."""
+    out = []
+    for name in names:
+        while name in docs.columns:
+            name += "_"
+        out.append(name)
+    return out
+
+
+def keep_rows(docs: DataFrame, decided: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay by ``decided`` (row, row2: ``row_key``; stays), one for
+    each id and text.
+
+    The rows that go, and those repeated as they are, are met by their keys: these are
+    joined without shuffling any text as long as their table is small.
+    """
+    decided = staged(decided, "decided")
+    again = staged(
+        decided.filter("stays").groupBy("row", "row2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "again"
+    )
+    key, key2 = unused(docs, "_row", "_row2")
+    gone = decided.filter("NOT stays").select("row", "row2").distinct()
+    keyed = docs.withColumns({key: row_key(docs), key2: row_key(docs, F.lit(1))})
+
+    def of(keys: DataFrame):
+        return keys.select(F.col("row").alias(key), F.col("row2").alias(key2))
+
+    gone = staged(of(gone.unionByName(again)), "gone")
+    once = keyed.join(gone, [key, key2], "left_anti")
+    repeated = keyed.join(of(again), [key, key2], "left_semi").dropDuplicates([key, key2])
+    return once.unionByName(repeated.select(*once.columns)).drop(key, key2).select(*docs.columns)

@@ -97,13 +97,12 @@ def _signatures(size: int, bands: int, rows: int):
             flat = np.concatenate(values) if values else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
-                    batch.column("row"),
+                    *(batch.column(name) for name in ("doc_id", "row", "row2")),
                     pa.array(classes, pa.string()),
                     pa.array(counts, pa.int32()),
                     pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, bands, dtype=np.int32)), pa.array(flat)),
                 ],
-                names=["doc_id", "row", "class", "n_grams", "bands"],
+                names=["doc_id", "row", "row2", "class", "n_grams", "bands"],
             )
         release_memory()
 
@@ -219,17 +218,17 @@ def similar(docs: DataFrame, size: int = WORDS, similarity: float = SIMILARITY)
     are linked to each other. Repeated rows are linked like other copies. An empty
     table gives no rows; other columns aren't read.
     """
-    return _joined(docs, size, similarity).drop("row", "first_row")
+    return _joined(docs, size, similarity).drop("row", "row2", "stays")
 
 
 def _joined(docs: DataFrame, size: int, similarity: float) -> DataFrame:
-    """``similar`` with each row's key, and the key of the first row of its class."""
+    """``similar`` with each row's key, and whether it is the first row of its class."""
     bands, rows = bands_for(similarity)
     texts = id_and_text(docs)
-    texts = texts.withColumn("row", row_key(texts))
+    texts = texts.withColumns({"row": row_key(texts), "row2": row_key(texts, F.lit(1))})
     signed = staged(
         texts.mapInArrow(
-            _signatures(size, bands, rows), "doc_id long, row long, class string, n_grams int, bands array<long>"
+            _signatures(size, bands, rows), "doc_id long, row long, row2 long, class string, n_grams int, bands array<long>"
         ),
         "signatures",
     )
@@ -290,11 +289,12 @@ def _joined(docs: DataFrame, size: int, similarity: float) -> DataFrame:
         )
     )
     named = staged(named, "named")
-    rows_of = signed.select("doc_id", "row", "class", "n_grams").join(named, "class")
-    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))).alias("first")
+    rows_of = signed.select("doc_id", "row", "row2", "class", "n_grams").join(named, "class")
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"), F.col("row2"))).alias("first")
     firsts = rows_of.groupBy("component").agg(F.min("doc_id").alias("class_id"), first)
     return rows_of.join(firsts, "component").select(
-        "doc_id", "class_id", "n_links", "n_grams", "row", F.col("first.row").alias("first_row")
+        "doc_id", "class_id", "n_links", "n_grams", "row", "row2",
+        ((F.col("row") == F.col("first.row")) & (F.col("row2") == F.col("first.row2"))).alias("stays"),
     )
 
 
@@ -302,5 +302,4 @@ def one_of_each(docs: DataFrame, size: int = WORDS, similarity: float = SIMILARI
     """The rows of ``docs``, with their columns, that no row of a smaller doc_id is
     joined to by links; one for each class. Null ids come last; of rows alike
     in id the one with the smallest key stays."""
-    joined = _joined(docs, size, similarity)
-    return keep_rows(docs, joined.filter(F.col("row") == F.col("first_row")).select("row"))
+    return keep_rows(docs, _joined(docs, size, similarity).select("row", "row2", "stays"))

@@ -6,11 +6,12 @@ texts apart. A window that holds such vocabulary compresses better with the
 second dictionary; the difference in length, in bytes, is the window's margin.
 How far margins must go before a text counts as toxic is calibrated on labelled
 rows that the dictionaries haven't seen, by a logistic curve over three
-summaries of a text's margins.
+summaries of a text's margins. Sampled texts of any length are used as a whole: Spark
+counts their words and summarises them, and only words, windows and summaries reach
+the driver.
 """
 
 import random
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,13 +20,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwright.llm.shared import id_and_text
+from tillwright.llm.shared import id_and_text, small_batches, staged
 
-#: Labelled rows of each class that the dictionaries may be made from, rows of
-#: both classes for the calibration, and the bytes beyond which a text is not used.
+#: Labelled rows of each class that the dictionaries may be made from, and rows of both
+#: classes for the calibration.
 DICTIONARY_ROWS = 1500
 CALIBRATION_ROWS = 3000
-SAMPLE_BYTES = 20_000
 #: Bytes of ordinary prose in both dictionaries, and at most of toxic vocabulary.
 PROSE_BYTES = 96 << 10
 VOCABULARY_BYTES = 2 << 10
@@ -81,34 +81,45 @@ class Distance:
         return float(1 / (1 + np.exp(-np.clip(z, -50, 50))))
 
 
-def dictionaries(toxic: list[str], ordinary: list[str], seed: int = 1) -> Distance:
-    """The two dictionaries from texts of both classes; copies count once."""
-    toxic, ordinary = sorted(set(toxic)), sorted(set(ordinary))
-    with_word, without = Counter(), Counter()
-    for text in toxic:
-        with_word.update(set(text.lower().split()))
-    for text in ordinary:
-        without.update(set(text.lower().split()))
-    least = max(3, WORD_SHARE * len(toxic))
-    odds = {
-        w: np.log((n + 0.5) / (len(toxic) + 1)) - np.log((without[w] + 0.5) / (len(ordinary) + 1))
-        for w, n in with_word.items()
-        if n >= least
-    }
-    chosen = sorted((w for w in odds if odds[w] > WORD_LOG_ODDS), key=lambda w: (-odds[w] * with_word[w], w))
-    vocabulary = (" " + " ".join(chosen) + " ").encode()[:VOCABULARY_BYTES]
+def vocabulary(texts: DataFrame) -> bytes:
+    """The words that set toxic texts apart, from rows (text, toxic); copies count once."""
+    apart = texts.select("toxic", "text").distinct()
+    counts = apart.agg(F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("ordinary")).first()
+    words = apart.select("toxic", F.explode(F.array_distinct(F.split(F.lower("text"), r"\s+"))).alias("word"))
+    held = words.filter("word <> ''").groupBy("word").agg(
+        F.count_if(F.col("toxic") == 1).alias("n"), F.count_if(F.col("toxic") == 0).alias("m")
+    )
+    odds = F.log((F.col("n") + 0.5) / (counts.toxic + 1)) - F.log((F.col("m") + 0.5) / (counts.ordinary + 1))
+    least = max(3, WORD_SHARE * counts.toxic)
+    chosen = held.filter(F.col("n") >= least).withColumn("odds", odds).filter(F.col("odds") > WORD_LOG_ODDS)
+    # A word and its space take two bytes of VOCABULARY_BYTES at least.
+    rows = chosen.orderBy(F.desc(F.col("odds") * F.col("n")), "word").limit(VOCABULARY_BYTES // 2).collect()
+    return (" " + " ".join(r.word for r in rows) + " ").encode()[:VOCABULARY_BYTES]
+
+
+def prose(texts: DataFrame, words: int = 6) -> bytes:
+    """Windows of ordinary texts, from rows (text, toxic), in the order of a hash."""
+    split = texts.filter("toxic = 0").select("text").distinct().select(F.split(F.lower("text"), r"\s+").alias("words"))
+    starts = F.sequence(F.lit(1), F.size("words"), F.lit(words))
+    pieces = split.select(F.explode(F.transform(starts, lambda i: F.array_join(F.slice("words", i, words), " "))).alias("piece"))
+    # Of a piece without a space, which may be long, the last dictionary bytes are enough.
+    pieces = pieces.select(F.substring("piece", 1, 1024).alias("piece")).filter(F.length("piece") >= 2 * words)
+    rows = pieces.orderBy(F.xxhash64("piece"), "piece").limit(PROSE_BYTES // (2 * words)).collect()
+    return " ".join(r.piece for r in rows).encode()[:PROSE_BYTES]
+
+
+def dictionaries(texts: DataFrame, seed: int = 1) -> Distance:
+    """The two dictionaries from rows (text, toxic)."""
+    ordinary, toxic = prose(texts), vocabulary(texts)
     rnd = random.Random(seed)
-    phrases = [w for text in ordinary for w in windows(text, 6)]
-    rnd.shuffle(phrases)
-    prose = b" ".join(phrases)[:PROSE_BYTES]
     # The ordinary dictionary is as long, with bytes that match no text in its place.
-    blank = bytes(rnd.randrange(0xF8, 0x100) for _ in vocabulary)
-    return Distance(prose + blank, prose + vocabulary)
+    blank = bytes(rnd.randrange(0xF8, 0x100) for _ in toxic)
+    return Distance(ordinary + blank, ordinary + toxic)
 
 
-def calibrated(distance: Distance, texts: list[str], toxic: list[int], ridge: float = 1e-2) -> Distance:
-    """``distance`` with weights fitted by Newton's method to labelled texts."""
-    x = np.array([distance.summary(t) for t in texts])
+def calibrated(distance: Distance, summaries, toxic: list[int], ridge: float = 1e-2) -> Distance:
+    """``distance`` with weights fitted by Newton's method to summaries of labelled texts."""
+    x = np.array(summaries, float)
     y = np.array(toxic, float)
     middle, spread = x.mean(0), x.std(0) + 1e-9
     design = np.c_[np.ones(len(x)), (x - middle) / spread]
@@ -123,13 +134,39 @@ def calibrated(distance: Distance, texts: list[str], toxic: list[int], ridge: fl
     return Distance(distance.ordinary, distance.toxic, np.r_[w[0] - own @ middle, own])
 
 
-def _sample(docs: DataFrame, labels: DataFrame, condition, n: int) -> list:
-    """At most ``n`` labelled rows, in the order of a hash of their ids."""
+def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(part, doc_id, toxic, text) of a bounded number of labelled rows: of each part, the
+    first in the order of a hash of their ids. Of several texts of an id one is taken."""
     order = F.xxhash64("doc_id", F.lit("sample"))
-    ids = labels.filter(condition).orderBy(order, "doc_id").limit(2 * n)
-    # 2n ids of eight bytes: a fixed bound for the broadcast.
-    rows = docs.join(F.broadcast(ids), "doc_id").filter(F.octet_length("text") <= SAMPLE_BYTES)
-    return rows.orderBy(order, "doc_id", "text").limit(n).select("text", "toxic").collect()
+    learning = ~fold().isin(HELD_OUT, CALIBRATING)
+    wanted = {
+        "toxic": (learning & (F.col("toxic") == 1), DICTIONARY_ROWS),
+        "ordinary": (learning & (F.col("toxic") == 0), DICTIONARY_ROWS),
+        "calibration": (fold() == CALIBRATING, CALIBRATION_ROWS),
+    }
+    held, chosen = docs.select("doc_id"), None
+    for part, (condition, n) in wanted.items():
+        # Twice as many ids as wanted, since some may have no text: a fixed bound for the broadcast.
+        asked = labels.filter(condition).orderBy(order, "doc_id").limit(2 * n)
+        found = held.join(F.broadcast(asked), "doc_id").distinct().orderBy(order, "doc_id").limit(n)
+        found = found.select("doc_id", "toxic", F.lit(part).alias("part"))
+        chosen = found if chosen is None else chosen.unionByName(found)
+    chosen = staged(chosen, "sampled-ids")
+    texts = docs.join(F.broadcast(chosen), "doc_id")
+    one = F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("one")
+    return staged(texts.groupBy("part", "doc_id", "toxic").agg(one).select("part", "doc_id", "toxic", "one.text"), "sample")
+
+
+def _summaries(texts: DataFrame, distance: Distance) -> list:
+    """(toxic, summary) of each row, in the order of ids."""
+
+    @F.pandas_udf("array<double>")
+    def summary(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for some in batches:
+            yield pd.Series([list(map(float, distance.summary(t))) for t in some])
+
+    small_batches(texts.sparkSession)
+    return texts.select("doc_id", "toxic", summary("text").alias("of")).orderBy("doc_id").collect()
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Distance:
@@ -145,14 +182,13 @@ def train(docs: DataFrame, labels: DataFrame) -> Distance:
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
-    learning = ~fold().isin(HELD_OUT, CALIBRATING)
-    toxic = [r.text for r in _sample(docs, labels, learning & (F.col("toxic") == 1), DICTIONARY_ROWS)]
-    ordinary = [r.text for r in _sample(docs, labels, learning & (F.col("toxic") == 0), DICTIONARY_ROWS)]
-    rows = _sample(docs, labels, fold() == CALIBRATING, CALIBRATION_ROWS)
-    distance = dictionaries(toxic, ordinary)
-    if not toxic or not ordinary or len({r.toxic for r in rows}) < 2:
-        return distance
-    return calibrated(distance, [r.text for r in rows], [r.toxic for r in rows])
+    sample = _sample(docs, labels)
+    kinds = {(r.part, r.toxic) for r in sample.select("part", "toxic").distinct().collect()}
+    if not {("toxic", 1), ("ordinary", 0), ("calibration", 0), ("calibration", 1)} <= kinds:
+        return Distance(b"\xf8" * 8, b"\xf8" * 8)
+    distance = dictionaries(sample.filter("part <> 'calibration'"))
+    rows = _summaries(sample.filter("part = 'calibration'"), distance)
+    return calibrated(distance, [r.of for r in rows], [r.toxic for r in rows])
 
 
 def with_scores(docs: DataFrame, distance: Distance, name: str = "score") -> DataFrame:
