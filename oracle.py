@@ -70,7 +70,7 @@ COMMON = {
                     WHEN (31*s + w) % 97 = 0 THEN -(2 + 5e-3 * ((s + 3*w) % 500))
                     ELSE 2 + 5e-3 * ((s + 3*w) % 500) END AS fuel_price,
                {", ".join(f"coalesce(m{k}, CASE WHEN s % 2 = 0 THEN 'NaN'::DOUBLE END) AS markdown{k}" for k in range(1, 6))},
-               CASE WHEN (s + w) % 211 = 0 THEN 0e0 ELSE 180 + 625e-4 * ((11*s + w) % 800) END AS cpi,
+               CASE WHEN (s + w) % 211 = 0 THEN 0e0 WHEN (s + 11*w) % 313 = 0 THEN 'NaN'::DOUBLE ELSE 180 + 625e-4 * ((11*s + w) % 800) END AS cpi,
                CASE WHEN (3*s + w) % 307 = 0 THEN 'NaN'::DOUBLE
                     ELSE 35e-1 + 25e-3 * ((5*s + w) % 300) END AS unemployment,
                {HOLIDAY} AS isholiday
@@ -392,7 +392,14 @@ QUERIES = {
         GROUP BY store_id, version, store_type, size_category""",
     "dim_date": CALENDAR + "fact_days",
     "dim_date_range": CALENDAR + "day_range",
-    "dim_store": "SELECT * FROM dim_store",
+    "dim_store": f"""
+        SELECT d.*, e.sales_per_sqft_avg, e.store_efficiency_rank
+        FROM dim_store d LEFT JOIN (
+            SELECT store_key, sales_per_sqft_avg,
+                   CAST(rank() OVER (ORDER BY sales_per_sqft_avg DESC) AS INTEGER) AS store_efficiency_rank
+            FROM (SELECT store_key, {rounded('sum(cents)', '100 * count(DISTINCT date) * any_value(store_size)', 2)} AS sales_per_sqft_avg
+                  FROM sales JOIN current USING (store_id) GROUP BY store_key)
+        ) e USING (store_key)""",
     "dim_department": """
         SELECT DISTINCT department_id AS department_key, department_id, 'Department ' || department_id AS department_name,
                CASE WHEN department_id <= 10 THEN 'Electronics & Home' WHEN department_id <= 20 THEN 'Apparel & Accessories'
@@ -438,6 +445,13 @@ QUERIES = {
     "fact_yoy": f"""
         SELECT {FACT_COLUMNS}, {amount('ly')} AS sales_vs_ly, {_growth('ly')} AS sales_growth_pct
         FROM (SELECT *, lag(cents, 52) OVER (PARTITION BY store_key, department_key ORDER BY date) AS ly FROM fact)""",
+    "warehouse_fact": f"""
+        SELECT sales_key, date_key, store_key, department_key, is_holiday, CAST(weekly_sales AS DOUBLE) AS weekly_sales,
+               sales_quantity, {amount('ly')} AS sales_vs_ly, {_growth('ly')} AS sales_growth_pct, promotion_type,
+               CAST(total_markdown AS DOUBLE) AS total_markdown, CAST(t AS DOUBLE) AS temperature,
+               CAST(f AS DOUBLE) AS fuel_price, CAST(c AS DOUBLE) AS cpi, CAST(u AS DOUBLE) AS unemployment
+        FROM (SELECT *, lag(cents, 52) OVER (PARTITION BY store_key, department_key ORDER BY date) AS ly FROM fact)
+        JOIN promotions USING (promotion_key) JOIN economics USING (economic_key)""",
     "fact_yoy_calendar": f"""
         SELECT {FACT_COLUMNS}, {amount('ly')} AS sales_vs_ly, {_growth('ly')} AS sales_growth_pct
         FROM (SELECT a.*, b.cents AS ly FROM fact a LEFT JOIN fact b ON b.store_key = a.store_key
@@ -475,6 +489,24 @@ QUERIES = {
         SELECT store_id, department_id, week_start, month_start, {amount('cents')} AS total_sales,
                {rounded('(cents - cents52) * 100', 'cents52', 2)} AS yoy_growth_pct,
                {rounded('(cents - cents1) * 100', 'cents1', 2)} AS wow_growth_pct FROM trend""",
+    "date_hierarchy": f"""
+        SELECT CASE GROUPING(y, q, m, w, date) WHEN 0 THEN 'day' WHEN 1 THEN 'week' WHEN 3 THEN 'month'
+                    WHEN 7 THEN 'quarter' WHEN 15 THEN 'year' ELSE 'all' END AS level,
+               CAST(y AS INTEGER) AS year, CAST(q AS INTEGER) AS quarter, CAST(m AS INTEGER) AS month,
+               w AS week_start, date AS day, {amount('sum(cents)')} AS total_sales, count(*) AS num_records
+        FROM (SELECT *, year(date) AS y, quarter(date) AS q, month(date) AS m,
+                     CAST(date_trunc('week', date) AS DATE) AS w FROM sales)
+        GROUP BY ROLLUP (y, q, m, w, date)""",
+    "fiscal_hierarchy": f"""
+        SELECT CASE GROUPING(fy, fq, fp) WHEN 0 THEN 'fiscal_period' WHEN 1 THEN 'fiscal_quarter'
+                    WHEN 3 THEN 'fiscal_year' ELSE 'all' END AS level,
+               CAST(fy AS INTEGER) AS fiscal_year, CAST(fq AS INTEGER) AS fiscal_quarter, CAST(fp AS INTEGER) AS fiscal_period,
+               {amount('sum(cents)')} AS total_sales, count(*) AS num_records
+        FROM (SELECT *, CASE WHEN month(date) >= 2 THEN year(date) ELSE year(date) - 1 END AS fy,
+                     CASE WHEN month(date) IN (2, 3, 4) THEN 1 WHEN month(date) IN (5, 6, 7) THEN 2
+                          WHEN month(date) IN (8, 9, 10) THEN 3 ELSE 4 END AS fq,
+                     CASE WHEN month(date) >= 2 THEN month(date) - 1 ELSE 12 END AS fp FROM sales)
+        GROUP BY ROLLUP (fy, fq, fp)""",
     "kpi_summary": f"""
         SELECT count(DISTINCT store_id) AS num_stores, count(DISTINCT department_id) AS num_departments,
                count(DISTINCT date) AS num_weeks, {amount('sum(cents)')} AS total_sales,
@@ -682,6 +714,9 @@ QUERIES = {
     "training_guard": "SELECT count(*) >= 100 AS accepted, count(*) AS training_rows FROM training",
 }
 
+QUERIES["warehouse_trend"] = QUERIES["trend_mart"]
+QUERIES["warehouse_checks"] = _all(QUERIES[f"check_{c}"] for c in ("fact_null_keys", "fact_orphans", "count_drift"))
+
 
 def _needed(sql: str) -> list:
     """The common expressions a statement uses, in an order that defines before use."""

@@ -113,24 +113,118 @@ def test_a_failed_check_leaves_the_fact(three_days, monkeypatch):
     tables.drop_staged(three_days.spark)
 
 
+def unstamped(warehouse):
+    return {n: rows(warehouse.read(n).drop("created_at", "updated_at")) for n in TABLES}
+
+
+def test_days_without_a_run_and_failed_ones_are_made_up_for(spark, three_days, tmp_path, monkeypatch):
+    """The first day fails its checks, the second isn't run at all, and the third runs late."""
+    root = str(tmp_path)
+    for name in ("stores", "features", "sales"):
+        raw = spark.read.parquet(f"{three_days.root}/bronze/{name}").filter(F.col("ingest_date") == DAYS[0])
+        raw.write.partitionBy("ingest_date").parquet(f"{root}/bronze/{name}")
+    with monkeypatch.context() as patch:
+        patch.setattr(builds.quality, "require", lambda _checks: (_ for _ in ()).throw(ValueError("refused")))
+        with pytest.raises(ValueError, match="refused"):
+            build(spark, root, DAYS[0])
+    warehouse = Warehouse(spark, root)
+    assert not warehouse.has("gold.fact_sales") and warehouse.done("gold.fact_sales") == []
+    for name in ("stores", "features", "sales"):
+        raw = spark.read.parquet(f"{three_days.root}/bronze/{name}").filter(F.col("ingest_date") > DAYS[0])
+        raw.write.mode("append").partitionBy("ingest_date").parquet(f"{root}/bronze/{name}")
+    assert warehouse.due_loads("sales", "2011-07-18") == [DAYS[1], DAYS[2]]
+    build(spark, root, "2011-07-18")
+    assert warehouse.done("silver.sales") == DAYS and warehouse.done("gold.fact_sales") == ["2011-07-18"]
+    late, in_time = unstamped(warehouse), unstamped(three_days)
+    # Numbered in the order in which runs met them; a sale gets the store version of its run.
+    keys = "promotion_key", "economic_key", "store_key"
+    for name in TABLES:
+        if name != "gold.fact_sales":
+            assert late[name] == in_time[name], name
+    facts = [rows(w.read("gold.fact_sales").drop("created_at", "updated_at", *keys)) for w in (warehouse, three_days)]
+    assert facts[0] == facts[1]
+
+
+def test_kept_totals_give_the_checks_of_the_whole_fact(three_days):
+    kept = three_days.read(builds.CHECKS)
+    version = tables.current(three_days.spark, three_days.path("gold.fact_sales")).version
+    assert {r["fact_version"] for r in kept.select("fact_version").distinct().collect()} == {version}
+    sales_rows = tables.table_rows(three_days.spark, three_days.path("silver.sales"))
+    assert sales_rows == 120
+    found = builds.quality.checks_of_totals(builds.kept_totals(three_days), builds.FOREIGN_KEYS, sales_rows)
+    assert rows(found) == rows(builds.star_schema_checks(three_days))
+    counted = builds.quality.fact_totals(three_days.read("gold.fact_sales"), builds._dimensions(three_days), [builds.FACT_MONTH, builds.SERIES_PART])
+    assert rows(builds.kept_totals(three_days)) == rows(counted.select(*builds.kept_totals(three_days).columns))
+
+
+def test_totals_find_nulls_orphans_and_drift(spark, three_days):
+    by = [builds.FACT_MONTH, builds.SERIES_PART]
+    bad = three_days.read("gold.fact_sales").limit(9)
+    bad = bad.withColumns({"store_key": F.lit(-1).cast("long"), "date_key": F.when(F.col("date_key") > 20100301, F.col("date_key"))})
+    dims = builds._dimensions(three_days)
+    found = builds.quality.checks_of_totals(builds.quality.fact_totals(bad, dims, by), dims, 9)
+    want = builds.quality.fact_null_keys(bad).unionByName(builds.quality.fact_orphans(bad, dims))
+    assert rows(found.filter("check <> 'fact vs silver count drift'")) == rows(want)
+    assert not builds.quality.checks_of_totals(builds.quality.fact_totals(bad, dims, by), dims, 20).filter("check LIKE 'fact%'").first()["passed"]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_comparisons_read_the_parts_of_touched_series_only(three_days):
+    fact = three_days.read("gold.fact_sales")
+    batch = tables.staged(fact.filter(F.col("sales_key") < (2 << 32)).limit(1).drop("sales_vs_ly"))
+    part = batch.select(builds._series_part(8)).first()[0]
+    plan = plan_of(builds.moved_comparisons(fact, batch, 8))
+    filters = [f for f in re.findall(r"PartitionFilters: \[(.*?)\]", plan) if builds.SERIES_PART in f]
+    assert filters and all(re.search(rf"{builds.SERIES_PART}#\d+ (=|IN \()\s*{part}", f) for f in filters), plan
+    tables.drop_staged(three_days.spark)
+
+
+def test_marts_follow_from_the_base_without_a_shuffle(spark, three_days):
+    from tillwright.plans import marts
+
+    path, stores = three_days.path("platinum.base"), three_days.read("silver.stores")
+    base = marts.kept_base(spark, path, builds.MONTH)
+    assert base.count() == 120
+    for mart in (marts.trend_mart, marts.promotion_mart):
+        plan = plan_of(mart(base, stores).select("*"))
+        assert "hashpartitioning" not in plan and "rangepartitioning" not in plan, plan
+
+
+def test_marts_equal_those_of_all_weeks(spark, three_days):
+    from tillwright.plans import marts
+
+    sales, features = three_days.read("silver.sales").drop(builds.MONTH), three_days.read("silver.features").drop(builds.MONTH)
+    base, stores = marts.weekly_base(sales, features), three_days.read("silver.stores")
+    promotion = three_days.read("platinum.promotion").drop(builds.WEEK_MONTH)
+    assert rows(promotion) == rows(marts.promotion_mart(base, stores).select(*promotion.columns))
+    assert rows(three_days.read("platinum.trend")) == rows(marts.trend_mart(base, stores))
+
+
 def test_no_staged_table_is_left(three_days, spark):
     staged = f"{spark.conf.get('spark.checkpoint.dir')}/staged"
     mine = tables.staged_count()
     assert mine == 0 and not [p for p in os.listdir(staged) if not p.startswith(".")]
 
 
+def visible(path):
+    return sorted(n for n in os.listdir(path) if not n.startswith("."))
+
+
 def test_a_cut_off_replace_keeps_the_table(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.replace_table(spark.range(3), path)
-    os.makedirs(f"{path}/v00000002")  # a later version without _SUCCESS
+    open(f"{path}/.v00000002", "w").close()  # a manifest that didn't get its name
     spark.range(9).write.parquet(f"{path}/data/table_write=2")
     assert tables.read_table(spark, path).count() == 3
     tables.replace_table(tables.read_table(spark, path).limit(2), path)
     assert tables.read_table(spark, path).count() == 2
-    assert sorted(os.listdir(path)) == ["data", "v00000001", "v00000003"]
+    assert visible(path) == ["data", "v00000001", "v00000003"]
     assert sorted(os.listdir(f"{path}/data")) == ["table_write=1", "table_write=3"]
     tables.replace_table(spark.range(5), path)
-    assert sorted(os.listdir(path)) == ["data", "v00000003", "v00000004"]
+    assert visible(path) == ["data", "v00000003", "v00000004"]
     assert sorted(os.listdir(f"{path}/data")) == ["table_write=3", "table_write=4"]
 
 

@@ -1,13 +1,16 @@
+import os
 import random
 from decimal import Decimal
+from glob import glob
 
 import numpy as np
 from helpers import d, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tillwright.operators.keys import extend_keys, sales_key, store_version_key, surrogate_key
+from tillwright.operators.keys import extend_keys, global_rank, sales_key, store_version_key, surrogate_key
 from tillwright.operators.latest import latest_per_key
 from tillwright.operators.lookup import as_of_dimension
 from tillwright.operators.medians import exact_medians
@@ -15,6 +18,7 @@ from tillwright.operators.merge import insert_absent, upsert
 from tillwright.operators.scd2 import scd2_apply, scd2_from_history
 from tillwright.plans.quality import scd2_invariants
 from tillwright.plans.silver import no_stores
+from tillwright.sources.tables import drop_staged
 
 FEW = settings(
     max_examples=5,
@@ -141,6 +145,41 @@ def test_surrogate_key_is_dense_and_ordered(spark):
     assert rows(extend_keys(known, more, ["n"], "key")) == [(5001, -5), (5002, 9000)]
 
 
+def test_keys_run_their_input_once_and_leave_nothing(spark):
+    drop_staged(spark)
+    folder = f"{spark.conf.get('spark.checkpoint.dir')}/staged"
+    runs = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            runs.add(len(batch))
+            yield batch
+
+    df = spark.range(3000).mapInPandas(count, "id long").repartition(5)
+    keyed = surrogate_key(df, ["id"], "key")
+    assert rows(keyed, "key", "id") == [(i + 1, i) for i in range(3000)] and rows(keyed, "key") == rows(keyed, "key")
+    assert runs.value == 3000
+    assert glob(f"{spark.conf.get('spark.checkpoint.dir')}/*/rdd-*") == []
+    assert len(visible(folder)) == 1  # what the result reads
+    drop_staged(spark)
+    assert visible(folder) == []
+
+
+def visible(folder):
+    return [n for n in os.listdir(folder) if not n.startswith(".")]
+
+
+def test_global_rank_equals_a_window(spark):
+    df = spark.range(4000).select("id", F.when(F.col("id") % 13 > 0, (F.col("id") * 7919 % 211).cast("double")).alias("v")).repartition(6)
+    more = df.unionByName(spark.range(3000).select(F.col("id") + 9000, F.lit(100.0).alias("v")).toDF("id", "v"))
+    want = more.filter("v IS NOT NULL").withColumn("r", F.rank().over(Window.orderBy(F.desc("v")))).unionByName(
+        more.filter("v IS NULL").withColumn("r", F.lit(None).cast("int"))
+    )
+    assert rows(global_rank(more, "v", "r")) == rows(want)
+    assert global_rank(df.filter("false"), "v", "r").count() == 0
+    drop_staged(spark)
+
+
 def test_computed_keys_are_unique(spark):
     df = spark.createDataFrame(
         [(s, p, d(day)) for s in (1, 2, 2**31 - 1) for p in (1, 99, 65535) for day in ("1970-01-01", "2100-01-01")],

@@ -16,8 +16,9 @@ from tillwright.functions.numeric import (
     mean_of,
     percent_change,
     quotient,
+    ratio,
 )
-from tillwright.operators.keys import extend_keys, series_key
+from tillwright.operators.keys import extend_keys, global_rank, series_key
 from tillwright.operators.merge import absent, insert_absent
 from tillwright.schemas import (
     CPI,
@@ -75,14 +76,34 @@ def calendar_between(bounds: DataFrame) -> DataFrame:
 # --- store and department -----------------------------------------------------
 
 
-def dim_store(silver_stores: DataFrame) -> DataFrame:
-    """Every store version with its descriptions.
+def store_efficiency(silver_stores: DataFrame, sales: DataFrame) -> DataFrame:
+    """store_key, sales_per_sqft_avg, store_efficiency_rank of the current versions with sales.
+
+    The average weekly sales of a store over its square feet, two decimals; the
+    highest ranks first, and equal ones share a rank. Sales are summed by store and
+    week before the weeks are counted.
+    """
+    weekly = sales.groupBy("store_id", "date").agg(F.sum("weekly_sales").alias("amount"))
+    totals = weekly.groupBy("store_id").agg(F.sum("amount").cast(MONEY).alias("total"), F.count("*").alias("weeks"))
+    current = silver_stores.filter("is_current").select("store_key", "store_id", "store_size")
+    per_foot = F.round(ratio(F.col("total"), F.col("weeks") * F.col("store_size")), 2).cast("decimal(10,2)")
+    measured = current.join(totals, "store_id").select("store_key", per_foot.alias("sales_per_sqft_avg"))
+    ranked = global_rank(measured, "sales_per_sqft_avg", "store_efficiency_rank")
+    return ranked.withColumn("store_efficiency_rank", F.col("store_efficiency_rank").cast("int"))
+
+
+def dim_store(silver_stores: DataFrame, efficiency: DataFrame | None = None) -> DataFrame:
+    """Every store version with its descriptions; ``efficiency``: see store_efficiency.
 
     Keys are computed from (store_id, version), so rebuilding from the silver
     history inserts new versions and carries closed ones, without renumbering.
     """
     size = F.col("store_size")
     unset = F.lit(None)
+    measured, rank = unset.cast("decimal(10,2)"), unset.cast("int")
+    if efficiency is not None:
+        silver_stores = silver_stores.join(efficiency, "store_key", "left")
+        measured, rank = F.col("sales_per_sqft_avg"), F.col("store_efficiency_rank")
     return silver_stores.select(
         "store_key",
         "store_id",
@@ -91,8 +112,8 @@ def dim_store(silver_stores: DataFrame) -> DataFrame:
         "store_size",
         band(size, *bands.SIZE_BANDS).alias("size_category"),
         *[unset.cast("string").alias(c) for c in ("region", "state", "city")],
-        unset.cast("decimal(10,2)").alias("sales_per_sqft_avg"),
-        unset.cast("int").alias("store_efficiency_rank"),
+        measured.alias("sales_per_sqft_avg"),
+        rank.alias("store_efficiency_rank"),
         "effective_date",
         "end_date",
         "is_current",

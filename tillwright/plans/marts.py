@@ -1,29 +1,43 @@
 """Pre-aggregated weekly marts."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tillwright.functions.numeric import mean_of, percent_change, quotient
-from tillwright.schemas import MARKDOWNS, MONEY
+from tillwright.schemas import CPI, MARKDOWNS, MONEY, TEMPERATURE, UNEMPLOYMENT
+from tillwright.sources.bucketed import read_bucketed, write_bucketed
 
 CONTEXT = ["cpi", "unemployment", "temperature"]
 
 
+#: How the weekly base is kept, so that both marts read it without a shuffle.
+SERIES, WEEKS, BUCKETS = ["store_id", "department_id"], ["week_start", "month_start"], 16
+
+
+def keep_base(base: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
+    """Write the weekly base in buckets of series and read it back; see write_bucketed."""
+    return write_bucketed(base, path, SERIES, [*SERIES, *WEEKS], BUCKETS, partition_by)
+
+
+def kept_base(spark: SparkSession, path: str, partition_by: str | None = None) -> DataFrame:
+    return read_bucketed(spark, path, BASE_SCHEMA, SERIES, [*SERIES, *WEEKS], BUCKETS, partition_by)
+
+
 def weekly_base(sales: DataFrame, features: DataFrame) -> DataFrame:
     """Sums and counts per store, department, week and month: what both marts
     share, so the join of sales and features is made once.
 
-    Rows are laid out by (store, department) before grouping. The grouping and
-    the trend window then need no further shuffle; weekly sales are unique per
-    group already, so an earlier partial sum would save nothing.
+    Rows are laid out by (store, department) before grouping, and ``keep_base``
+    keeps them so; weekly sales are unique per group already, so an earlier
+    partial sum would save nothing.
     """
     context = features.select("store_id", "date", *MARKDOWNS, *CONTEXT)
     joined = sales.join(context, ["store_id", "date"], "left")
     sums = [F.sum(c).alias(f"{c}_sum") for c in [*MARKDOWNS, *CONTEXT]]
     counts = [F.count(c).alias(f"{c}_n") for c in [*MARKDOWNS, *CONTEXT]]
     return (
-        joined.repartition("store_id", "department_id")
+        joined.repartition(BUCKETS, *SERIES)
         .groupBy(
             "store_id",
             "department_id",
@@ -40,6 +54,18 @@ def weekly_base(sales: DataFrame, features: DataFrame) -> DataFrame:
     )
 
 
+def _base_schema() -> str:
+    """The columns of weekly_base: sums of decimals have ten digits more than their parts."""
+    kinds = dict.fromkeys(MARKDOWNS, MONEY) | {"cpi": CPI, "unemployment": UNEMPLOYMENT, "temperature": TEMPERATURE}
+    wide = {c: f"decimal({t.precision + 10},{t.scale})" for c, t in kinds.items()}
+    fixed = ["store_id int", "department_id int", "week_start date", "month_start date", f"total_sales {MONEY.simpleString()}"]
+    fixed += ["num_records bigint", "holiday int"]
+    return ", ".join(fixed + [f"{c}_sum {t}" for c, t in wide.items()] + [f"{c}_n bigint" for c in wide])
+
+
+BASE_SCHEMA = _base_schema()
+
+
 def promotion_mart(base: DataFrame, stores: DataFrame) -> DataFrame:
     """Sales, markdown averages and return per store, department and week."""
     current = stores.filter("is_current").select("store_id", "store_type", "store_size")

@@ -160,6 +160,32 @@ def count_drift(fact: DataFrame, sales: DataFrame, tolerance: float = 0.01) -> D
     return _rows(totals, [("fact vs silver count drift", drift, drift <= F.col("s") * tolerance)])
 
 
+def fact_totals(fact: DataFrame, dims: dict, by) -> DataFrame:
+    """What the fact's checks count, by ``by``: (…, check, value)."""
+    null_keys = ["date_key", "store_key", "department_key"]
+    counted = {"rows": F.count("*"), **{f"null {k}": F.count_if(F.col(k).isNull()) for k in null_keys}}
+    pairs = F.array(*[F.struct(F.lit(n).alias("check"), c.alias("value")) for n, c in counted.items()])
+    totals = fact.groupBy(*by).agg(pairs.alias("of")).select(*by, F.inline("of"))
+    for key, dim in dims.items():
+        known = dim.select(key)
+        missing = fact.groupBy(*by, key).agg(F.count("*").alias("value")).join(known, key, "left_anti")
+        totals = totals.unionByName(missing.groupBy(*by).agg(F.lit(f"orphan {key}").alias("check"), F.sum("value").alias("value")))
+    return totals
+
+
+def checks_of_totals(totals: DataFrame, dims, sales_rows: int, tolerance: float = 0.01) -> DataFrame:
+    """The checks of nulls, orphans and count drift, from ``fact_totals`` of all parts of the fact."""
+    names = [f"null {k}" for k in ("date_key", "store_key", "department_key")] + [f"orphan {k}" for k in dims]
+    of = {n: F.coalesce(F.sum(F.when(F.col("check") == n, F.col("value"))), F.lit(0)) for n in [*names, "rows"]}
+    whole = totals.agg(*[c.alias(f"v{i}") for i, c in enumerate(of.values())])
+    drift = F.abs(F.col(f"v{len(names)}") - F.lit(sales_rows))
+    return _rows(
+        whole,
+        [(n, F.col(f"v{i}"), _none(F.col(f"v{i}"))) for i, n in enumerate(names)]
+        + [("fact vs silver count drift", drift, drift <= F.lit(sales_rows) * tolerance)],
+    )
+
+
 def value_rules(stores: DataFrame, features: DataFrame, calendar: DataFrame) -> DataFrame:
     """The declared value constraints, as counts of violating rows."""
 

@@ -19,13 +19,16 @@ from tillwright.operators.lookup import as_of_dimension
 from tillwright.operators.merge import insert_absent, upsert
 from tillwright.operators.scd2 import scd2_from_history
 from tillwright.plans import gold, marts, models, quality, reports, silver
+from tillwright.plans.build import FOREIGN_KEYS, MONTH, Warehouse, build, kept_totals
 from tillwright.schemas import TABLE_KEYS
 from tillwright.sources import model_store, orderlines
 from tillwright.sources.files import append_raw
 from tillwright.sources.orderlines import LOAD1, LOAD2
 from tillwright.sources.shared import shared_folder
-from tillwright.sources.tables import drop_staged, staged_count
+from tillwright.sources.tables import drop_staged, staged_count, table_rows
 
+#: Tables that are kept by month, as in the warehouse.
+BY_MONTH = ("silver.sales", "silver.features")
 _RUN = uuid.uuid4().hex[:12]
 _DONE = {}
 
@@ -52,9 +55,18 @@ class Tables:
             frame = BUILDERS[name](self)
             if name.startswith("bronze."):
                 append_raw(frame, path)
+            elif name == "platinum.base":
+                marts.keep_base(frame, path)
+            elif name in BY_MONTH:
+                # A month's rows in the order of stores: a scan skips months, and the pages of other stores.
+                dated = frame.withColumn(MONTH, F.trunc("date", "month"))
+                dated = dated.hint("rebalance", F.col(MONTH)).sortWithinPartitions(MONTH, "store_id", "date")
+                dated.write.mode("overwrite").partitionBy(MONTH).parquet(path)
             else:
                 frame.write.mode("overwrite").parquet(path)
             _DONE[path] = True
+        if name == "platinum.base":
+            return marts.kept_base(self.spark, path)
         return self.spark.read.parquet(path)
 
 
@@ -291,6 +303,38 @@ def enough_rows(t: Tables) -> DataFrame:
     return frame.agg(F.count("*").alias("training_rows")).withColumn("accepted", F.lit(accepted))
 
 
+def warehouse(t: Tables) -> Warehouse:
+    """A warehouse built by the daily run over both load days."""
+    root = f"{t.root}/warehouse"
+    if root not in _DONE:
+        for name in ("stores", "features", "sales"):
+            append_raw(t(f"bronze.{name}").drop("ingest_date"), f"{root}/bronze/{name}")
+        for day in (LOAD1, LOAD2):
+            build(t.spark, root, day)
+        _DONE[root] = True
+    return Warehouse(t.spark, root)
+
+
+def warehouse_fact(t: Tables) -> DataFrame:
+    """The fact that the daily run leaves, with what its dimension keys stand for."""
+    tables = warehouse(t)
+    promotions = tables.read("gold.dim_promotion").select("promotion_key", "promotion_type", "total_markdown")
+    economics = tables.read("gold.dim_economic").select("economic_key", "temperature", "fuel_price", "cpi", "unemployment")
+    fact = tables.read("gold.fact_sales").join(promotions, "promotion_key").join(economics, "economic_key")
+    return fact.drop("promotion_key", "economic_key", "month_key", "series_part", *silver.STAMPS)
+
+
+def warehouse_checks(t: Tables) -> DataFrame:
+    """The checks that the last run kept the totals of, over the whole fact."""
+    tables = warehouse(t)
+    rows = table_rows(t.spark, tables.path("silver.sales"))
+    return quality.checks_of_totals(kept_totals(tables), FOREIGN_KEYS, rows)
+
+
+def warehouse_trend(t: Tables) -> DataFrame:
+    return warehouse(t).read("platinum.trend")
+
+
 CHECKED_TABLES = [name for name in TABLE_KEYS]
 
 
@@ -323,9 +367,9 @@ QUERIES = {
     # star schema
     "dim_date": lambda t: gold.dim_date_from_facts(t("silver.sales"), t("silver.features")),
     "dim_date_range": calendar_of_sales,
-    "dim_store": lambda t: gold.dim_store(t("silver.stores")).drop(
-        "region", "state", "city", "sales_per_sqft_avg", "store_efficiency_rank"
-    ),
+    "dim_store": lambda t: gold.dim_store(
+        t("silver.stores"), gold.store_efficiency(t("silver.stores"), t("silver.sales"))
+    ).drop("region", "state", "city"),
     "dim_department": lambda t: gold.dim_department(t("silver.sales")).drop("avg_margin_pct"),
     "dim_department_default": default_department_sales,
     "dim_promotion": lambda t: gold.dim_promotion(t("silver.features")),
@@ -344,12 +388,18 @@ QUERIES = {
     "gold_promotion_effectiveness": lambda t: gold.promotion_effectiveness_view(
         t("gold.fact_sales"), t("gold.dim_promotion")
     ),
+    # the daily run
+    "warehouse_fact": warehouse_fact,
+    "warehouse_checks": warehouse_checks,
+    "warehouse_trend": warehouse_trend,
     # marts
     "promotion_mart": lambda t: marts.promotion_mart(t("platinum.base"), t("silver.stores")),
     "trend_mart": lambda t: marts.trend_mart(t("platinum.base"), t("silver.stores")),
     "trend_growth": lambda t: marts.trend_growth(t("platinum.trend")),
     # reports
     "kpi_summary": lambda t: reports.kpi_summary(t("silver.sales")),
+    "date_hierarchy": lambda t: reports.date_hierarchy(t("silver.sales")),
+    "fiscal_hierarchy": lambda t: reports.fiscal_hierarchy(t("silver.sales")),
     "top_departments": lambda t: reports.top_departments(t("silver.sales")),
     "cpi_impact": lambda t: reports.cpi_impact(*_sales_stores_features(t)),
     "unemployment_impact": lambda t: reports.unemployment_impact(*_sales_stores_features(t)),

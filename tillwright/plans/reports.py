@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tillwright.functions import bands
+from tillwright.functions.dates import fiscal_period, fiscal_quarter, fiscal_year
 from tillwright.functions.numeric import (
     exact_mean,
     markdown_total,
@@ -86,6 +87,45 @@ def kpi_summary(sales: DataFrame) -> DataFrame:
     )
 
 
+def _hierarchy(days: DataFrame, columns) -> DataFrame:
+    """Totals of every level of ``columns``, the widest first; ``level`` names the one a row is of."""
+    totals = days.rollup(*columns).agg(
+        F.sum("amount").cast(TOTAL).alias("total_sales"),
+        F.sum("n").alias("num_records"),
+        F.grouping_id().alias("_id"),
+    )
+    # Rolled up from the right, the id of the level that lacks n columns is 2^n - 1.
+    names = [*[c[: -len("_start")] if c.endswith("_start") else c for c in reversed(columns)], "all"]
+    level = F.element_at(F.array(*[F.lit(n) for n in names]), F.bit_count("_id").cast("int") + 1)
+    return totals.select(level.alias("level"), *columns, "total_sales", "num_records")
+
+
+def _by_day(sales: DataFrame) -> DataFrame:
+    """Sales are summed by day first: no later row depends on a store or department."""
+    return sales.groupBy("date").agg(F.sum("weekly_sales").alias("amount"), F.count("*").alias("n"))
+
+
+def date_hierarchy(sales: DataFrame) -> DataFrame:
+    """Sales by year, quarter, month, week and day, and their totals on every level."""
+    days = _by_day(sales).select(
+        F.year("date").alias("year"),
+        F.quarter("date").alias("quarter"),
+        F.month("date").alias("month"),
+        F.trunc("date", "week").alias("week_start"),
+        F.col("date").alias("day"),
+        "amount",
+        "n",
+    )
+    return _hierarchy(days, ["year", "quarter", "month", "week_start", "day"])
+
+
+def fiscal_hierarchy(sales: DataFrame) -> DataFrame:
+    """Sales by fiscal year, quarter and period, and their totals on every level."""
+    day = F.col("date")
+    periods = [fiscal_year(day).alias("fiscal_year"), fiscal_quarter(day).alias("fiscal_quarter"), fiscal_period(day).alias("fiscal_period")]
+    return _hierarchy(_by_day(sales).select(*periods, "amount", "n"), ["fiscal_year", "fiscal_quarter", "fiscal_period"])
+
+
 def top_departments(sales: DataFrame, k: int = 10) -> DataFrame:
     return (
         sales.groupBy("department_id")

@@ -16,18 +16,23 @@ SALES_VALUES = ["weekly_sales", "is_holiday"]
 STAMPS = ["created_at", "updated_at"]
 
 
-def recent(bronze: DataFrame, as_of, days: int = LOOKBACK_DAYS) -> DataFrame:
-    """Rows loaded on ``as_of`` or in the ``days`` before it.
+def recent(bronze: DataFrame, as_of, days: int = LOOKBACK_DAYS, due=()) -> DataFrame:
+    """Rows loaded on ``as_of`` or in the ``days`` before it, or on one of the days ``due``.
 
     Later loads are left out, so a past day can be run again. On a table
     partitioned by load day the filter on that column prunes partitions.
     """
     day = F.lit(as_of).cast("date")
     since, until = F.date_sub(day, days), F.date_add(day, 1)
+    missed = [F.lit(d).cast("date") for d in due]
     loaded = F.col("ingestion_timestamp")
-    rows = bronze.filter((loaded >= since.cast("timestamp")) & (loaded < until.cast("timestamp")))
+    recently = loaded >= since.cast("timestamp")
+    if missed:
+        recently = recently | F.to_date(loaded).isin(*missed)
+    rows = bronze.filter(recently & (loaded < until.cast("timestamp")))
     if "ingest_date" in bronze.columns:
-        rows = rows.filter(F.col("ingest_date").between(since, day))
+        in_window = F.col("ingest_date").between(since, day)
+        rows = rows.filter(in_window | F.col("ingest_date").isin(*missed) if missed else in_window)
     return rows
 
 
@@ -70,14 +75,15 @@ def silver_stores(bronze: DataFrame, current: DataFrame | None, as_of) -> DataFr
     )
 
 
-def silver_features(bronze: DataFrame, as_of) -> DataFrame:
-    """Clean weekly features of the loads of ``as_of``: one row per store and date.
+def silver_features(bronze: DataFrame, as_of, due=()) -> DataFrame:
+    """Clean weekly features of the loads of ``as_of``, and of the days ``due``: one row
+    per store and date.
 
     Rows need cpi > 0 and 0 <= unemployment <= 100; NULL and NaN fail (NaN
     compares above every number, so an upper bound rejects it, and cpi has
     none). A negative or missing fuel price becomes 0, a missing markdown 0.
     """
-    valid = recent(bronze, as_of).filter(
+    valid = recent(bronze, as_of, due=due).filter(
         (F.col("cpi") > 0)
         & ~F.isnan("cpi")
         & (F.col("unemployment") >= 0)
@@ -105,11 +111,11 @@ def silver_features(bronze: DataFrame, as_of) -> DataFrame:
     )
 
 
-def silver_sales(bronze: DataFrame, as_of) -> DataFrame:
-    """Clean weekly sales of the loads of ``as_of``: one row per store,
+def silver_sales(bronze: DataFrame, as_of, due=()) -> DataFrame:
+    """Clean weekly sales of the loads of ``as_of``, and of the days ``due``: one row per store,
     department and date. Negative amounts (returns) stay; of several rows of
     one load time the highest amount wins."""
-    return _clean_sales(recent(bronze, as_of), _stamp(as_of))
+    return _clean_sales(recent(bronze, as_of, due=due), _stamp(as_of))
 
 
 def loaded_sales(bronze: DataFrame) -> DataFrame:

@@ -70,7 +70,10 @@ def raw_features(spark: SparkSession, sf_dir: str) -> DataFrame:
             "fuel_price"
         ),
         *[F.coalesce(F.col(m), F.when(s % 2 == 0, nan)).alias(m) for m in MARKDOWNS],
-        F.when((s + w) % 211 == 0, 0.0).otherwise(180 + 0.0625 * ((11 * s + w) % 800)).alias("cpi"),
+        F.when((s + w) % 211 == 0, 0.0)
+        .when((s + 11 * w) % 313 == 0, nan)
+        .otherwise(180 + 0.0625 * ((11 * s + w) % 800))
+        .alias("cpi"),
         F.when((3 * s + w) % 307 == 0, nan)
         .otherwise(3.5 + 0.025 * ((5 * s + w) % 300))
         .alias("unemployment"),

@@ -23,8 +23,3 @@ def shared_folder(spark: SparkSession) -> str:
     if app not in _LOCAL:
         _LOCAL[app] = tempfile.mkdtemp(prefix="tillwright-")
     return _LOCAL[app]
-
-
-def ensure_checkpoints(spark: SparkSession) -> None:
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))

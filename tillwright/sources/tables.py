@@ -1,12 +1,12 @@
 """Parquet tables of the warehouse: replace, append, and merge by partition.
 
-A table folder holds ``data``, where every write has a folder of its own, and version
-folders, ``v00000001`` and on. A version is a small Parquet table, the manifest,
-that names the folders of every partition. The current version is the highest that
-Spark committed (it holds ``_SUCCESS``), so a write of any number of partitions
-takes effect in that one step: cut short before, it leaves the table as it was.
-Files that the last ``KEPT`` versions name stay, so that readers of the version
-before a write can finish. A table has one writer at a time.
+A table folder holds ``data``, where every write has a folder of its own, and versions,
+``v00000001`` and on. A version is a small file, the manifest, that names the folders of
+every partition with their rows. It gets its name, by a rename, when it is complete, and the
+highest is the current one, so a write of any number of partitions takes effect in
+that one step: cut short before, it leaves the table as it was. Files that the last
+``KEPT`` versions name stay, so that readers of the version before a write can
+finish. A table has one writer at a time.
 """
 
 import json
@@ -26,7 +26,6 @@ KEPT = 2
 #: Writes of an unpartitioned table beyond which an append rewrites it as one.
 MOST_APPENDS = 32
 _WRITE = "table_write"
-_MANIFEST = "part string, write int, table_schema string"
 
 
 class _Staged(threading.local):
@@ -62,12 +61,12 @@ def _names(spark: SparkSession, path: str) -> list[str]:
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
-    """Version numbers in use, committed or not, ascending.
+    """Version numbers, ascending.
 
     A folder with anything else in it isn't a table written here: rather than
     take it for an absent one and replace it, fail.
     """
-    names = [n for n in _names(spark, path) if n != "data"]
+    names = [n for n in _names(spark, path) if n != "data" and not n.startswith(".")]
     other = [n for n in names if not (n[:1] == "v" and n[1:].isdigit())]
     if other:
         raise ValueError(f"{path} holds {sorted(other)[:5]}, which no table write left there")
@@ -85,31 +84,37 @@ def _committed(spark: SparkSession, path: str) -> bool:
 
 @dataclass
 class Snapshot:
-    """A version: its number, and (partition folder, number of the write) of all its data."""
+    """A version: its number, and the rows by (partition folder, number of the write)."""
 
     version: int
-    parts: list[tuple[str, int]]
+    rows: dict[tuple[str, int], int]
     schema: StructType
 
+    @property
+    def parts(self) -> list[tuple[str, int]]:
+        return sorted(self.rows)
+
 
 def _snapshot(spark: SparkSession, path: str, version: int) -> Snapshot:
-    # One row for each partition, or each append to an unpartitioned table.
-    rows = spark.read.schema(_MANIFEST).parquet(_version_path(path, version)).collect()
-    schema = StructType.fromJson(_json(rows[0]["table_schema"]))
-    return Snapshot(version, sorted((r["part"], r["write"]) for r in rows if r["write"] is not None), schema)
+    jvm_path, file_system = _files(spark, _version_path(path, version))
+    stream = file_system.open(jvm_path)
+    try:
+        found = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+    rows = {(part, write): n for part, write, n in found["parts"]}
+    return Snapshot(version, rows, StructType.fromJson(found["schema"]))
 
 
 def current(spark: SparkSession, path: str) -> Snapshot | None:
     """The table's current version, None if there is no table."""
-    for version in reversed(_versions(spark, path)):
-        if _committed(spark, _version_path(path, version)):
-            return _snapshot(spark, path, version)
-    return None
+    versions = _versions(spark, path)
+    return _snapshot(spark, path, versions[-1]) if versions else None
 
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` holds a completely written table."""
-    return any(_committed(spark, _version_path(path, v)) for v in _versions(spark, path))
+    return bool(_versions(spark, path))
 
 
 def _folder(path: str, part: str, write: int) -> str:
@@ -162,6 +167,16 @@ def staged_count() -> int:
     return len(_STAGED.paths)
 
 
+def table_rows(spark: SparkSession, path: str) -> int:
+    """The number of rows of a table, from its manifest."""
+    return sum(current(spark, path).rows.values())
+
+
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """The values, as text, by which a plain folder of files is partitioned first."""
+    return sorted(n.split("=", 1)[1] for n in _names(spark, path) if n.startswith(f"{column}="))
+
+
 def _partitions(spark: SparkSession, folder: str, depth: int) -> list[str]:
     """The partition folders below ``folder``, as paths from there."""
     if depth == 0:
@@ -177,8 +192,9 @@ def _columns(partition_by) -> list[str]:
     return [partition_by] if isinstance(partition_by, str) else list(partition_by or ())
 
 
-def _write(df: DataFrame, path: str, partition_by) -> tuple[int, list[str]]:
-    """Write ``df`` beside the table's data; returns the write's number and its partitions."""
+def _write(df: DataFrame, path: str, partition_by) -> tuple[int, dict[tuple[str, int], int]]:
+    """Write ``df`` beside the table's data; returns the write's number and its partitions
+    with their rows."""
     spark, columns = df.sparkSession, _columns(partition_by)
     if _WRITE in df.columns:
         raise ValueError(f"a table can't have a column {_WRITE}")
@@ -192,26 +208,37 @@ def _write(df: DataFrame, path: str, partition_by) -> tuple[int, list[str]]:
         df.write.mode("error").parquet(folder)
     if not _committed(spark, folder):
         raise ValueError("Spark left no _SUCCESS: marksuccessfuljobs must not be switched off")
-    return number, _partitions(spark, folder, len(columns))
+    found = dict.fromkeys(_partitions(spark, folder, len(columns)), 0)
+    # Read from the files' footers; one row comes back for each partition.
+    file = F.split(F.url_decode(F.replace(F.input_file_name(), F.lit("+"), F.lit("%2B"))), f"/{_WRITE}={number}/").getItem(1)
+    where = F.regexp_replace(file, r"/?[^/]*$", "")
+    written = spark.read.schema(df.schema).parquet(folder).groupBy(where.alias("part")).count().collect()
+    found.update({r["part"]: r["count"] for r in written})
+    return number, {(part, number): n for part, n in found.items()}
 
 
-def _commit(spark: SparkSession, path: str, number: int, parts: list[tuple[str, int]], schema: StructType) -> None:
+def _commit(spark: SparkSession, path: str, number: int, parts: dict[tuple[str, int], int], schema: StructType) -> None:
     """Make ``parts`` the table's version ``number``, then delete what no kept version names."""
-    rows = [(part, write, schema.json()) for part, write in sorted(parts)] or [("", None, schema.json())]
-    manifest = spark.createDataFrame(rows, _MANIFEST).coalesce(1)
-    manifest.write.mode("error").parquet(_version_path(path, number))
+    manifest = {"parts": [[part, write, n] for (part, write), n in sorted(parts.items())], "schema": schema.jsonValue()}
+    hidden, file_system = _files(spark, f"{path}/.{uuid.uuid4().hex}")
+    stream = file_system.create(hidden, False)
+    try:
+        stream.write(bytearray(json.dumps(manifest).encode()))
+    finally:
+        stream.close()
+    named, _ = _files(spark, _version_path(path, number))
+    if file_system.exists(named) or not file_system.rename(hidden, named):
+        raise ValueError(f"another write made version {number} of {path}")
     _clean(spark, path, number)
 
 
 def _clean(spark: SparkSession, path: str, number: int) -> None:
     versions = [v for v in _versions(spark, path) if v <= number]
-    committed = [v for v in versions if _committed(spark, _version_path(path, v))]
-    kept = committed[-KEPT:]
-    named = {p for v in kept for p in _snapshot(spark, path, v).parts}
-    dropped = {p for v in committed[:-KEPT] for p in _snapshot(spark, path, v).parts} - named
-    for version in versions:
-        if version not in kept:
-            _delete(spark, _version_path(path, version))
+    old, kept = versions[:-KEPT], versions[-KEPT:]
+    named = {p for v in kept for p in _snapshot(spark, path, v).rows}
+    dropped = {p for v in old for p in _snapshot(spark, path, v).rows} - named
+    for version in old:
+        _delete(spark, _version_path(path, version))
     whole = {write for _, write in named}
     for name in _names(spark, f"{path}/data"):
         write = int(name.split("=")[1])
@@ -224,17 +251,13 @@ def _clean(spark: SparkSession, path: str, number: int) -> None:
 
 def _plain(df: DataFrame) -> StructType:
     """The schema as it comes back from files: columns may hold nulls."""
-    return StructType.fromJson(_json(df.schema.json().replace('"nullable":false', '"nullable":true')))
-
-
-def _json(text: str) -> dict:
-    return json.loads(text)
+    return StructType.fromJson(json.loads(df.schema.json().replace('"nullable":false', '"nullable":true')))
 
 
 def replace_table(df: DataFrame, path: str, partition_by=None) -> None:
     """Recompute-and-replace sink. ``df`` may read the table itself."""
     number, parts = _write(df, path, partition_by)
-    _commit(df.sparkSession, path, number, [(p, number) for p in parts], _plain(df))
+    _commit(df.sparkSession, path, number, parts, _plain(df))
 
 
 def append_rows(df: DataFrame, path: str) -> None:
@@ -245,7 +268,7 @@ def append_rows(df: DataFrame, path: str) -> None:
         replace_table(_frame(spark, path, before).unionByName(df), path)
         return
     number, parts = _write(df, path, None)
-    _commit(spark, path, number, before.parts + [(p, number) for p in parts], before.schema)
+    _commit(spark, path, number, before.rows | parts, before.schema)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by) -> None:
@@ -256,8 +279,9 @@ def replace_partitions(df: DataFrame, path: str, partition_by) -> None:
         replace_table(df, path, partition_by)
         return
     number, parts = _write(df, path, partition_by)
-    kept = [(part, write) for part, write in before.parts if part not in set(parts)]
-    _commit(spark, path, number, kept + [(p, number) for p in parts], before.schema)
+    new = {part for part, _ in parts}
+    kept = {p: n for p, n in before.rows.items() if p[0] not in new}
+    _commit(spark, path, number, kept | parts, before.schema)
 
 
 def merge_table(
