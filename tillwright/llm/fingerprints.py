@@ -36,12 +36,13 @@ def _uniform(hashed: str, place: int) -> str:
 
 def _value(k: int) -> str:
     """The value of ``term`` with ``weight`` in sample k, as SQL over ``h<k>``, the hash of the
-    sample and the term, ``u<k>``, its first uniform, and ``v<k>``, the product of the others.
+    sample and the term.
 
     A value beyond ``enough`` is the least of a text with probability e^-20 only. It
     isn't worked out: a lower bound that needs no logarithm stands for it.
     """
-    u1, product = f"u{k}", f"v{k}"
+    u1, u3, u4 = (f"({_uniform(f'h{k}', i)})" for i in range(3))
+    product = f"({u3} * {u4})"
     u2 = f"({_uniform(f'xxhash64(h{k})', 0)})"
     low, bound = f"(-ln({product}) * {u1})", f"((1D - {product}) * {u1})"
     r = f"(-ln({u1} * {u2}))"
@@ -65,14 +66,8 @@ def samples(rows: DataFrame, keys: list[str], text: str, n: int = SAMPLES) -> Da
         .groupBy(*keys, "enough", "term")
         .agg(F.count(F.lit(1)).cast("double").alias("weight"))
     )
-    # The numbers of a sample are worked out once: a plan that repeats them is too long to compile cheaply.
-    hashed = terms.select("*", *[F.expr(f"xxhash64({k}, term)").alias(f"h{k}") for k in range(n)])
-    uniforms = [
-        F.expr(of).alias(name)
-        for k in range(n)
-        for name, of in ((f"u{k}", _uniform(f"h{k}", 0)), (f"v{k}", f"({_uniform(f'h{k}', 1)}) * ({_uniform(f'h{k}', 2)})"))
-    ]
-    terms = hashed.select("*", *uniforms)
+    # Hashed once, and in fewer columns than generated code takes (spark.sql.codegen.maxFields).
+    terms = terms.select("*", *[F.expr(f"xxhash64({k}, term)").alias(f"h{k}") for k in range(n)])
     least = [F.expr(f"min({_value(k)})").alias(f"s{k}") for k in range(n)]
     return terms.groupBy(*keys).agg(*least).select(*keys, F.array(*[f"s{k}" for k in range(n)]).alias("samples"))
 
