@@ -229,7 +229,8 @@ COMMON = {
         SELECT s.store AS store_id, s.dept AS department_id, s.date, CAST(s.weekly_sales AS DOUBLE) AS weekly_sales,
                s.isholiday AS is_holiday, st.type, st.size AS store_size,
                {each("CASE WHEN f.store IS NOT NULL THEN CASE WHEN f.@ IS NULL OR isnan(f.@) THEN 0 ELSE f.@ END END AS @")},
-               f.temperature, f.fuel_price, f.cpi, CASE WHEN isnan(f.unemployment) THEN NULL ELSE f.unemployment END AS unemployment
+               f.temperature, f.fuel_price, CASE WHEN isnan(f.cpi) THEN NULL ELSE f.cpi END AS cpi,
+               CASE WHEN isnan(f.unemployment) THEN NULL ELSE f.unemployment END AS unemployment
         FROM raw_sales s LEFT JOIN stores1 st USING (store)
         LEFT JOIN raw_features f ON f.store = s.store AND f.date = s.date""",
     "medians": """
