@@ -48,3 +48,13 @@ def test_rounds_stage_no_contexts(spark, monkeypatch):
     assert suffix_dedup.repeated_spans(docs, 40, 16, 0).count() > 0
     assert "halves" in [label for label, _ in written]
     assert [label for label, columns in written if "context" in columns] == ["cut"]
+
+
+def test_ids_of_a_slice_come_as_one_array():
+    """Texts of all kinds, cut together: plain ones, others, special tokens, blanks."""
+    library, ids_of = Tokenizer.from_file(WORD), words.ChunkIds(words.Words(WORD))
+    texts = ["A b c", "", "İstanbul 東京", " \n ", "x <|endoftext|> y", "É'S don't 12", "한글 á"]
+    ids, ends = ids_of.flat(texts)
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [part.tolist() for part in np.split(ids, ends[:-1])] == want
+    assert ends.tolist() == np.cumsum(list(map(len, want))).tolist()

@@ -30,7 +30,7 @@ FILE_BYTES = 64 << 20
 ROW_GROUP_BYTES = 8 << 20
 PAGE_BYTES = 256 << 10
 #: Characters of texts encoded at once, and bytes of ids after which freed memory is given back.
-SLICE_CHARS, RELEASE_BYTES = 512 << 10, 16 << 20
+SLICE_CHARS, RELEASE_BYTES = 2 << 20, 16 << 20
 #: Files whose lengths are added up as one group.
 GROUP_FILES = 4096
 
@@ -40,19 +40,17 @@ _ROWS = "doc_id long, part int, row long, first long, n_tokens int, ids array<in
 def _encode(path: str, end_id: int):
     def run(batches):
         words = Words(path)
-        ids_of, end = ChunkIds(words), np.array([end_id], "<u4").tobytes()
+        ids_of = ChunkIds(words)
         part, row, first, done = TaskContext.get().partitionId(), 0, 0, 0
         for batch, texts in _slices(batches):
-            encoded = [ids + end for ids in ids_of.ids(texts)]
-            done += sum(map(len, encoded))
+            ids, ends = ids_of.flat(texts)
+            counts = np.diff(ends, prepend=0) + 1
+            values = np.insert(ids, ends, end_id).astype(np.int32, copy=False)
+            done += values.nbytes
             if done > RELEASE_BYTES:
                 release_memory()
                 done = 0
-            counts = np.array([len(e) // 4 for e in encoded], np.int64)
             ends = np.cumsum(counts)
-            values = pa.Array.from_buffers(
-                pa.int32(), int(counts.sum()), [None, pa.py_buffer(b"".join(encoded))]
-            )
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -60,7 +58,7 @@ def _encode(path: str, end_id: int):
                     pa.array(np.arange(row, row + len(counts))),
                     pa.array(first + ends - counts),
                     pa.array(counts.astype(np.int32)),
-                    pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), values),
+                    pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(values)),
                 ],
                 names=["doc_id", "part", "row", "first", "n_tokens", "ids"],
             )
