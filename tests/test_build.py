@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tillwright import schemas
 from tillwright.plans import build as builds
-from tillwright.plans import silver
+from tillwright.plans import registry, silver
 from tillwright.plans.build import Warehouse, build
 from tillwright.sources import tables
 from tillwright.sources.files import append_raw, ingest, read_csv
@@ -370,3 +370,35 @@ def test_keys_refuse_what_does_not_fit(spark):
         key = sales_key(F.lit(1), F.lit(department), F.lit(day).cast("date"))
         with pytest.raises(Exception, match="key field"):
             spark.range(1).select(key.alias("k")).collect()
+
+
+def test_a_merge_leaves_nothing_staged(spark, tmp_path):
+    batch = spark.createDataFrame([(1, "a", 2.0), (2, "b", 3.0)], "k int, part string, v double")
+    before = tables.staged_count()
+    for some in (batch, batch.withColumn("v", F.col("v") + 1), batch.filter("false")):
+        tables.merge_table(spark, str(tmp_path / "t"), some, ["k"], ["v"], partition_by="part")
+    assert tables.staged_count() == before
+    assert rows(tables.read_table(spark, str(tmp_path / "t"))) == [(1, "a", 3.0), (2, "b", 4.0)]
+
+
+def test_shuffle_files_go_with_their_query(spark, tmp_path):
+    def shuffled():
+        manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {n for d in manager.localDirsString() for _, _, names in os.walk(d) for n in names if n.startswith("shuffle_")}
+
+    key, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", shuffled()
+    was = spark.conf.get(key)
+    with tables.shuffles_removed(spark):
+        spark.range(1000).repartition(3).groupBy("id").count().write.parquet(str(tmp_path / "t"))
+    assert spark.conf.get(key) == was and not shuffled() - before
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 1000
+
+
+def test_a_raw_table_of_one_reader_is_not_kept(spark, sf_dir):
+    tables_of = registry.Tables(spark, sf_dir)
+    path = f"{tables_of.root}/bronze/stores"
+    known = registry._DONE.pop(path, None)
+    found = tables_of.once("bronze.stores")
+    assert path not in registry._DONE and found.count() > 0
+    if known:
+        registry._DONE[path] = known
